@@ -36,12 +36,13 @@ def parse_primary(df: DataFrame, body: str = "body", app_id: str = "app_id") ->
     the row's own app id is taken. A body that is not JSON gives
     ``parsed = false``; a JSON body without the app's key gives no success.
     """
-    envelope_map = F.from_json(F.col(body), S.PRIMARY_BODY)
-    entry = F.element_at(envelope_map, F.col(app_id).cast("string"))
-    return df.select(*[c for c in df.columns if c != body],
-                     envelope_map.isNotNull().alias("parsed"),
-                     F.coalesce(entry["success"], F.lit(False)).alias("success"),
-                     entry["data"].alias("data"))
+    # parse once into its own column; later projections read the column
+    parsed = df.withColumn("_m", F.from_json(F.col(body), S.PRIMARY_BODY))
+    entry = F.element_at(F.col("_m"), F.col(app_id).cast("string"))
+    return parsed.select(*[c for c in df.columns if c != body],
+                         F.col("_m").isNotNull().alias("parsed"),
+                         F.coalesce(entry["success"], F.lit(False)).alias("success"),
+                         entry["data"].alias("data"))
 
 
 def eligible(success: Column, data: Column) -> Column:
@@ -183,15 +184,16 @@ def classify(work: DataFrame, primary: DataFrame, stats: DataFrame | None = None
     """
     bodies = primary.select(app_id, "body").groupBy(app_id).agg(F.max("body").alias("body"))
     p = parse_primary(bodies, app_id=app_id)
-    j = work.select(app_id).join(p, app_id, "left")
-    ok = eligible(F.col("success"), F.col("data"))
-    rec = normalise(F.col("data"))
+    j = (work.select(app_id).join(p, app_id, "left")
+         .withColumn("ok", eligible(F.col("success"), F.col("data")))
+         .withColumn("rec", normalise(F.col("data"))))
     outcome = (F.when(~F.coalesce(F.col("parsed"), F.lit(False)), F.lit(S.FAILED))
-               .when(~ok, F.lit(DISCARDED_OUTCOME))
-               .when(rec["release_date"] == "", F.lit(NOT_RELEASED_OUTCOME))
+               .when(~F.col("ok"), F.lit(DISCARDED_OUTCOME))
+               .when(F.col("rec.release_date") == "", F.lit(NOT_RELEASED_OUTCOME))
                .otherwise(F.lit(S.ADDED)))
-    out = j.select(app_id, outcome.alias("outcome"),
-                   F.when(outcome == S.ADDED, rec).alias("record"))
+    out = (j.withColumn("outcome", outcome)
+           .select(app_id, "outcome",
+                   F.when(F.col("outcome") == S.ADDED, F.col("rec")).alias("record")))
     if stats is None:
         return out
     parsed_stats = parse_stats(stats, app_id=app_id)

@@ -236,8 +236,8 @@ def id_set_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("merge_last_wins", """
 WITH b AS (
   SELECT o_orderkey, o_totalprice, o_orderpriority, CAST(year(o_orderdate) - 1990 AS BIGINT) AS batch_no FROM orders
-  UNION ALL SELECT o_orderkey, o_totalprice * 2, 'X', CAST(10 AS BIGINT) FROM orders WHERE o_orderstatus = 'F'
-  UNION ALL SELECT o_orderkey, o_totalprice + 1, 'Y', CAST(9 AS BIGINT) FROM orders WHERE o_orderstatus = 'P')
+  UNION ALL SELECT o_orderkey, o_totalprice * 2, 'X', CAST(100 AS BIGINT) FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT o_orderkey, o_totalprice + 1, 'Y', CAST(99 AS BIGINT) FROM orders WHERE o_orderstatus = 'P')
 SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, o_orderpriority, batch_no FROM b
 QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY batch_no DESC) = 1""")
 def merge_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,10 +246,10 @@ def merge_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.year("o_orderdate") - 1990).cast("bigint").alias("batch_no"))
                .unionByName(o.where(F.col("o_orderstatus") == "F").select(
                    "o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"),
-                   F.lit("X").alias("o_orderpriority"), F.lit(10).cast("bigint").alias("batch_no")))
+                   F.lit("X").alias("o_orderpriority"), F.lit(100).cast("bigint").alias("batch_no")))
                .unionByName(o.where(F.col("o_orderstatus") == "P").select(
                    "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"),
-                   F.lit("Y").alias("o_orderpriority"), F.lit(9).cast("bigint").alias("batch_no"))))
+                   F.lit("Y").alias("o_orderpriority"), F.lit(99).cast("bigint").alias("batch_no"))))
     return round_doubles(ingest.last_wins(batches, "o_orderkey", "batch_no"))
 
 
@@ -291,17 +291,19 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- chunk files, keyed objects, last chunk wins (SNK2, SRC4, SNK3) ---------------------------
 
 CHUNK_ROWS = 500
+REDELIVERY_CHUNK = 1_000_000
 
 
 @register("chunk_merge", _with_src(
     "SELECT " + _base_select({"peak_ccu": "CASE WHEN k % 10 = 3 THEN -1 ELSE peak_ccu END"}) + " FROM src"))
 def chunk_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records land as keyed-object chunk files; chunk 12 must beat chunk 2."""
+    """Records land as keyed-object chunk files; a re-delivery in chunk 1000000
+    must beat the first delivery (chunk 1..n) by number, not by text."""
     base = testdata.catalog(spark, sf_dir)
     k = F.col("app_id").cast("bigint")
     first = base.select("app_id", (F.floor(k / CHUNK_ROWS) + 1).alias("chunk"), _record_struct().alias("r"))
     again = base.where(k % 10 == 3).select(
-        "app_id", F.lit(12).cast("bigint").alias("chunk"),
+        "app_id", F.lit(REDELIVERY_CHUNK).cast("bigint").alias("chunk"),
         _record_struct().withField("peak_ccu", F.lit(-1).cast("bigint")).alias("r"))
     landed = first.unionByName(again)
     # one keyed object per chunk: a chunk holds at most CHUNK_ROWS records per batch

@@ -137,8 +137,31 @@ def stats_bodies(base: DataFrame) -> DataFrame:
     return base.where(F.col("positive") > 0).select("app_id", body.alias("body"))
 
 
-def landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(apps, primary, stats)`` landed tables over the adapter catalog."""
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def land(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the apps, primary and stats tables as Parquet under ``root``."""
     base = testdata.catalog(spark, sf_dir)
-    apps = base.select("app_id")
-    return apps, primary_bodies(base), stats_bodies(base)
+    base.select("app_id").write.mode("overwrite").parquet(f"{root}/apps")
+    primary_bodies(base).write.mode("overwrite").parquet(f"{root}/primary")
+    stats_bodies(base).write.mode("overwrite").parquet(f"{root}/stats")
+    return root
+
+
+def landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(apps, primary, stats)`` landed tables built from the driver tables.
+
+    The bodies are written once per session to the shared folder and read
+    back, as a real landing zone would be: the ingest plans then start from
+    plain columns.
+    """
+    import hashlib
+
+    from ..session import shared_path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+        _LANDED[key] = land(spark, sf_dir, shared_path(spark, "landing", tag))
+    root = _LANDED[key]
+    return tuple(spark.read.parquet(f"{root}/{t}") for t in ("apps", "primary", "stats"))

@@ -38,16 +38,21 @@ def keyed_objects(spark: SparkSession, path: str) -> DataFrame:
     """SRC1/SRC4: files holding one ``{app_id: record}`` object each.
 
     Returns ``(app_id, record, file, chunk_no)``: ``record`` is the JSON text
-    of the value; within one file the last duplicate key wins (map parsing);
-    ``chunk_no`` is the number in ``chunk_<n>.json`` or ``chunk=<n>/`` (NULL otherwise).
+    of the value; within one file the last duplicate key wins (as with a
+    Python dict); ``chunk_no`` is the number in ``chunk_<n>.json`` or
+    ``chunk=<n>/`` (NULL otherwise).
     """
     raw = spark.read.text(path, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("file"))
     exploded = raw.select(
-        F.explode(F.from_json("value", "map<string,string>")).alias("app_id", "record"), "file")
+        F.posexplode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("pos", "e"),
+        "file")
+    # a parsed map keeps repeated keys: keep the last occurrence in each file
+    last = (exploded.groupBy("file", F.col("e.key").alias("app_id"))
+            .agg(F.max_by(F.col("e.value"), F.col("pos")).alias("record")))
     chunk = F.nullif(F.concat(F.regexp_extract("file", CHUNK_NUMBER, 1),
                               F.regexp_extract("file", CHUNK_NUMBER, 2)), F.lit("")).try_cast("bigint")
-    return exploded.select("app_id", "record", "file", chunk.alias("chunk_no"))
+    return last.select("app_id", "record", "file", chunk.alias("chunk_no"))
 
 
 def json_lines_records(spark: SparkSession, path: str) -> DataFrame:

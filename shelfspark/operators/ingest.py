@@ -182,9 +182,14 @@ def classify(work: DataFrame, primary: DataFrame, stats: DataFrame | None = None
     landed, or a body that is not JSON — retried next run). ``stats`` (raw
     bodies) enriches added records; ``None`` skips enrichment.
     """
-    bodies = primary.select(app_id, "body").groupBy(app_id).agg(F.max("body").alias("body"))
+    # Only the work list's bodies are parsed: the landing table keeps every body
+    # ever landed, the work list of one run is a slice of it. The semi-join runs
+    # before the de-duplicating aggregation (broadcast when the work list is small).
+    work = work.select(app_id)
+    bodies = (primary.select(app_id, "body").join(work, app_id, "left_semi")
+              .groupBy(app_id).agg(F.max("body").alias("body")))
     p = parse_primary(bodies, app_id=app_id)
-    j = (work.select(app_id).join(p, app_id, "left")
+    j = (work.join(p, app_id, "left")
          .withColumn("ok", eligible(F.col("success"), F.col("data")))
          .withColumn("rec", normalise(F.col("data"))))
     outcome = (F.when(~F.coalesce(F.col("parsed"), F.lit(False)), F.lit(S.FAILED))
@@ -196,7 +201,8 @@ def classify(work: DataFrame, primary: DataFrame, stats: DataFrame | None = None
                    F.when(F.col("outcome") == S.ADDED, F.col("rec")).alias("record")))
     if stats is None:
         return out
-    parsed_stats = parse_stats(stats, app_id=app_id)
+    added = out.where(F.col("outcome") == S.ADDED).select(app_id)
+    parsed_stats = parse_stats(stats.join(added, app_id, "left_semi"), app_id=app_id)
     joined = out.join(parsed_stats, app_id, "left")
     enriched = F.struct(F.col("record.*"), *stats_columns(F.col("stats")))
     return joined.select(app_id, "outcome",

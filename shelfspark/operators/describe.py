@@ -29,10 +29,9 @@ def nearest_rank_quantiles(df: DataFrame, col: str, qs=QUARTILES,
     v = F.col(col).cast("double")
     hist = (df.select(v.alias("v")).where(F.col("v").isNotNull())
             .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    bounds = hist.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    n = bounds.select("n").scalar()
+    bounds = hist.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"),
+                               F.sum("c").alias("n")).alias("b")).scalar()
+    lo, hi, n = bounds["lo"], bounds["hi"], bounds["n"]
 
     bucket = F.when(hi > lo, F.floor((F.col("v") - lo) / (hi - lo) * F.lit(buckets))) \
         .otherwise(F.lit(0)).cast("int")

@@ -312,8 +312,7 @@ def chunk_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
                   {"ignoreNullFields": "false"}).alias("value"))
     path = _scratch(spark, "chunk_merge", sf_dir)
     objects.write.mode("overwrite").partitionBy("chunk").text(path)
-    scanned = sources.keyed_objects(spark, path)
-    merged = ingest.last_wins(scanned.select("app_id", "record", "chunk_no"), "app_id", "chunk_no")
+    merged = sources.merge_chunks(spark, path)
     return round_doubles(flatten.flatten_records(merged))
 
 

@@ -34,27 +34,43 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
         raise
 
 
-def keyed_objects(spark: SparkSession, path: str) -> DataFrame:
+def keyed_objects(spark: SparkSession, path: str, dedupe: bool = True) -> DataFrame:
     """SRC1/SRC4: files holding one ``{app_id: record}`` object each.
 
     Returns ``(app_id, record, file, chunk_no)``: ``record`` is the JSON text
-    of the value; within one file the last duplicate key wins (as with a
-    Python dict); ``chunk_no`` is the number in ``chunk_<n>.json`` or
-    ``chunk=<n>/`` (NULL otherwise).
+    of the value; ``chunk_no`` is the number in ``chunk_<n>.json`` or
+    ``chunk=<n>/`` (NULL otherwise). Within one file the last duplicate key
+    wins (as with a Python dict). With ``dedupe=False`` every occurrence is
+    kept with its position ``pos`` in the file, so a merge that orders by
+    ``(chunk_no, pos)`` does both in one shuffle (see ``merge_chunks``).
     """
     raw = spark.read.text(path, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("file"))
     exploded = raw.select(
         F.posexplode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("pos", "e"),
         "file")
+    chunk = F.nullif(F.concat(F.regexp_extract("file", CHUNK_NUMBER, 1),
+                              F.regexp_extract("file", CHUNK_NUMBER, 2)), F.lit("")).try_cast("bigint")
+    if not dedupe:
+        return exploded.select(F.col("e.key").alias("app_id"), F.col("e.value").alias("record"),
+                               "file", chunk.alias("chunk_no"), "pos")
     # a parsed map keeps repeated keys: keep the last occurrence in each file
     last = (exploded.groupBy("file", F.col("e.key").alias("app_id"))
             .agg(F.max_by(F.col("e.value"), F.col("pos")).alias("record")))
-    chunk = F.nullif(F.concat(F.regexp_extract("file", CHUNK_NUMBER, 1),
-                              F.regexp_extract("file", CHUNK_NUMBER, 2)), F.lit("")).try_cast("bigint")
     return last.select("app_id", "record", "file", chunk.alias("chunk_no"))
 
 
+def merge_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """SRC4 + SNK3: read every chunk, keep per app the record of the highest
+    chunk number (numeric), and within a chunk the last occurrence — one
+    aggregation on ``app_id``. Returns ``(app_id, record, chunk_no)``."""
+    from ..operators.ingest import last_wins
+    occ = keyed_objects(spark, path, dedupe=False)
+    ordered = occ.select("app_id", "record", "chunk_no",
+                         F.struct("chunk_no", "pos").alias("_order"))
+    return last_wins(ordered, "app_id", "_order").drop("_order")
+
+
 def json_lines_records(spark: SparkSession, path: str) -> DataFrame:
     """JSON Lines with an ``app_id`` field per line -> ``(app_id, record)``."""
     raw = spark.read.text(path)

@@ -151,6 +151,9 @@ def test_chunks_f5_numeric_last_wins(spark, scratch):
     merged = ingest.last_wins(scanned.select("app_id", "record", "chunk_no"), "app_id", "chunk_no")
     got = {r["app_id"]: json.loads(r["record"])["name"] for r in merged.collect()}
     assert got == {"1": "Game 1", "2": "Game 2", "3": "new"}
+    one_shuffle = {r["app_id"]: json.loads(r["record"])["name"]
+                   for r in sources.merge_chunks(spark, scratch).collect()}
+    assert one_shuffle == got
 
 
 def test_keyed_object_last_duplicate_key_wins(spark, scratch):
@@ -160,6 +163,8 @@ def test_keyed_object_last_duplicate_key_wins(spark, scratch):
         fh.write('{"1": {"name": "a"}, "1": {"name": "b"}}')
     rows = sources.keyed_objects(spark, f"{scratch}/games.json").collect()
     assert [(r["app_id"], json.loads(r["record"])["name"]) for r in rows] == [("1", "b")]
+    merged = sources.merge_chunks(spark, f"{scratch}/games.json").collect()
+    assert [(r["app_id"], json.loads(r["record"])["name"]) for r in merged] == [("1", "b")]
 
 
 def test_id_sets_f7(spark, scratch):

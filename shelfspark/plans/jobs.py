@@ -8,10 +8,18 @@ Ingest folder layout under ``root`` (a shared folder):
   status/run=<n>/     status changes of run n (Parquet, append-only log)
   summary/run=<n>/    run counters (Parquet)
   merged/             last-wins records over all batches (Parquet)
+  status_snapshot/upto=<r>/  compacted status sets as of run r (``compact``)
+  merged_snapshot/upto=<b>/  compacted last-wins records up to batch b (``merge_incremental``)
 
 Each run first writes its outcomes and then derives every other output from
 that written table: the later writes never recompute the classification, and
 the lineage is cut there. Re-running run n replaces only run n's partitions.
+
+Compaction keeps the per-run reads bounded as runs accumulate: a run reads the
+latest status snapshot taken before it plus the changes logged after that
+snapshot (partition-pruned), never the whole log; ``merge_incremental`` folds
+only the batches after the last merged snapshot into it. Snapshots go to their
+own paths, so no job overwrites what it reads.
 """
 
 from __future__ import annotations
@@ -44,8 +52,42 @@ def status_log(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, _p(root, "status"), STATUS_LOG)
 
 
+def _snapshots(spark: SparkSession, path: str) -> list[int]:
+    """Snapshot numbers under ``path`` (``upto=<n>`` folders); few, so collected."""
+    t = read_or_empty(spark, path, T.StructType([T.StructField("upto", T.LongType())]))
+    return sorted(int(r[0]) for r in t.select("upto").distinct().collect())
+
+
+def status_as_of(spark: SparkSession, root: str, run: int | None = None) -> DataFrame:
+    """Status sets seen by run ``run`` (all runs before it); None = all runs.
+
+    Latest snapshot taken before ``run`` + the changes logged after it.
+    """
+    snaps = [s for s in _snapshots(spark, _p(root, "status_snapshot"))
+             if run is None or s < run]
+    log = status_log(spark, root)
+    if run is not None:
+        log = log.where(F.col("run") < run)
+    if not snaps:
+        return ingest.current_status(log)
+    s = snaps[-1]
+    snap = spark.read.parquet(_p(root, "status_snapshot", f"upto={s}")).select(
+        "app_id", "status", F.lit(True).alias("present"), F.lit(s).cast("bigint").alias("run"))
+    return ingest.current_status(snap.unionByName(log.where(F.col("run") > s)))
+
+
 def current_status(spark: SparkSession, root: str) -> DataFrame:
-    return ingest.current_status(status_log(spark, root))
+    return status_as_of(spark, root, None)
+
+
+def compact(spark: SparkSession, root: str) -> int:
+    """Write the status sets as of the last run as ``status_snapshot/upto=<r>``."""
+    r = next_run(spark, root) - 1
+    if r <= 0:
+        return r
+    state = status_as_of(spark, root, r + 1)
+    sinks.write_parquet(state, _p(root, "status_snapshot", f"upto={r}"))
+    return r
 
 
 def next_run(spark: SparkSession, root: str) -> int:
@@ -64,7 +106,7 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
     """
     run = next_run(spark, root) if run is None else run
     # only earlier runs count: re-running run n sees what run n saw the first time
-    status = ingest.current_status(status_log(spark, root).where(F.col("run") < run))
+    status = status_as_of(spark, root, run)
     work = ingest.work_list(apps, status, released)
     outcomes = ingest.classify(work, primary, stats)
     if stats is None:
@@ -95,6 +137,30 @@ def merge(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
     return spark.read.parquet(_p(root, "merged"))
 
 
+def merge_incremental(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
+    """SNK3 without re-reading old batches: last merged snapshot + newer batches.
+
+    Writes ``merged_snapshot/upto=<b>`` (b = highest batch folded in) and
+    returns it; equal to ``merge`` over all batches.
+    """
+    schema = RECORDS if enriched else T.StructType([
+        RECORDS["app_id"], T.StructField("record", S.RECORD), RECORDS["batch_id"]])
+    snaps = _snapshots(spark, _p(root, "merged_snapshot"))
+    records = read_or_empty(spark, _p(root, "records"), schema, fmt="json")
+    if snaps:
+        prev = spark.read.parquet(_p(root, "merged_snapshot", f"upto={snaps[-1]}"))
+        records = prev.select(*schema.fieldNames()).unionByName(
+            records.where(F.col("batch_id") > snaps[-1]))
+    top = records.agg(F.max("batch_id")).first()[0]
+    if top is None or (snaps and top <= snaps[-1]):
+        return spark.read.parquet(_p(root, "merged_snapshot", f"upto={snaps[-1]}")) if snaps \
+            else spark.createDataFrame([], schema)
+    merged = ingest.last_wins(records, "app_id", "batch_id")
+    out = _p(root, "merged_snapshot", f"upto={int(top)}")
+    sinks.write_parquet(merged, out)
+    return spark.read.parquet(out)
+
+
 def catalog_from_merged(spark: SparkSession, root: str) -> DataFrame:
     """DF3 over ingested data: merged records -> 29-column base table."""
     return flatten_struct(spark.read.parquet(_p(root, "merged")))

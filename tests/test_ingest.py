@@ -209,3 +209,27 @@ def test_ingest_twice_equals_once_and_statuses_partition(spark, scratch):
     base = jobs.catalog_from_merged(spark, scratch)
     assert base.columns == [n for n, _, _ in S.BASE_COLUMNS]
     assert base.first()["release_date"] == "Jan 1, 2020"
+
+
+def test_compaction_and_incremental_merge_equal_full(spark, scratch):
+    def game(name, date="Jan 1, 2020"):
+        return {"type": "game", "developers": ["D"], "release_date": {"date": date}, "name": name}
+    apps = spark.createDataFrame([(str(i),) for i in range(1, 5)], "app_id string")
+    run1 = bodies(spark, [("1", body("1", game("a"))), ("2", body("2", game("b", ""))),
+                          ("3", "oops")])
+    run2 = bodies(spark, [("2", body("2", game("b2"))), ("3", body("3", game("c"))),
+                          ("4", body("4", {**game("d"), "type": "dlc"}))])
+    for root, compact in ((f"{scratch}/plain", False), (f"{scratch}/compact", True)):
+        jobs.ingest_run(spark, root, apps, run1, None)
+        if compact:
+            assert jobs.compact(spark, root) == 1
+            jobs.merge_incremental(spark, root, enriched=False)
+        jobs.ingest_run(spark, root, apps, run2, None, released=False)
+    plain = {tuple(r) for r in jobs.current_status(spark, f"{scratch}/plain").collect()}
+    compacted = {tuple(r) for r in jobs.current_status(spark, f"{scratch}/compact").collect()}
+    assert plain == compacted == {("1", "processed"), ("2", "processed"), ("3", "processed"),
+                                  ("4", "discarded")}
+    full = {(r["app_id"], r["record"]["name"]) for r in jobs.merge(spark, f"{scratch}/plain", False).collect()}
+    inc = {(r["app_id"], r["record"]["name"])
+           for r in jobs.merge_incremental(spark, f"{scratch}/compact", False).collect()}
+    assert full == inc == {("1", "a"), ("2", "b2"), ("3", "c")}

@@ -403,8 +403,9 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the incremental ingest job, two runs (DF2, SNK2-4, SRC2, SRC6) --------------------------------
 
-def _two_runs(spark: SparkSession, sf_dir: str) -> str:
-    root = _scratch(spark, "ingest", sf_dir)
+def _two_runs(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Two ingest runs into a folder owned by query ``name``; returns the folder."""
+    root = _scratch(spark, name, sf_dir)
     apps, primary, stats = payloads.landed(spark, sf_dir)
     jobs.ingest_run(spark, root, apps, primary, stats, run=1)
     jobs.ingest_run(spark, root, apps, primary, stats, run=2)
@@ -417,14 +418,13 @@ SELECT app_id, CASE outcome WHEN 'added' THEN 'processed' WHEN 'not_released' TH
                             ELSE 'discarded' END AS status
 FROM cls WHERE outcome <> 'failed'"""))
 def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _two_runs(spark, sf_dir)
+    root = _two_runs(spark, sf_dir, "ingest_status")
     return jobs.current_status(spark, root)
 
 
 @register("ingest_merged", _with_cls("SELECT app_id," + _enriched_sql(False)
                                       + "\nFROM cls WHERE outcome = 'added'"))
 def ingest_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _scratch(spark, "ingest", sf_dir)
-    _two_runs(spark, sf_dir)
+    root = _two_runs(spark, sf_dir, "ingest_merged")
     merged = spark.read.parquet(f"{root}/merged")
     return round_doubles(merged.select("app_id", *_enriched_columns()))

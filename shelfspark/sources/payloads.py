@@ -10,6 +10,8 @@ from the same base columns without any JSON.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,6 +140,7 @@ def stats_bodies(base: DataFrame) -> DataFrame:
 
 
 _LANDED: dict[tuple[str, str], str] = {}
+_LANDING_LOCK = threading.Lock()
 
 
 def land(spark: SparkSession, sf_dir: str, root: str) -> str:
@@ -160,8 +163,9 @@ def landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
 
     from ..session import shared_path
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED:
-        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-        _LANDED[key] = land(spark, sf_dir, shared_path(spark, "landing", tag))
+    with _LANDING_LOCK:
+        if key not in _LANDED:
+            tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+            _LANDED[key] = land(spark, sf_dir, shared_path(spark, "landing", tag))
     root = _LANDED[key]
     return tuple(spark.read.parquet(f"{root}/{t}") for t in ("apps", "primary", "stats"))

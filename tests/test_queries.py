@@ -76,3 +76,23 @@ def test_scan_prunes_columns(spark):
     df = genre_counts(catalog(spark, SF_SMALL))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<p_partkey:bigint,p_type:string,p_size:int>" in plan
+
+
+def test_last_wins_pre_aggregates_per_task(spark):
+    """A key repeated in every batch costs one row per task before the shuffle."""
+    from shelfspark.operators.ingest import last_wins
+    df = spark.range(0, 1000).selectExpr("id % 3 AS k", "id AS batch", "CAST(id AS STRING) AS v")
+    out = last_wins(df, "k", "batch")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
+    assert {r["k"]: r["v"] for r in out.collect()} == {0: "999", 1: "997", 2: "998"}
+
+
+@pytest.mark.parametrize("name", ["genre_counts", "top_10_developers", "games_per_year",
+                                  "age_distribution"])
+def test_report_aggregations_are_partial(spark, name):
+    from shelfspark.plans.reports import REPORTS
+    from shelfspark.sources.testdata import catalog
+    df = REPORTS[name](catalog(spark, SF_SMALL))
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_count" in plan

@@ -327,17 +327,21 @@ def sanitize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", X.sanitize_text("html").alias("text"))
 
 
-_TEXTS = """
-  CASE p_size % 5 WHEN 0 THEN 'Free' WHEN 1 THEN '$' || CAST(p_retailprice AS VARCHAR)
-       WHEN 2 THEN CAST(p_retailprice AS VARCHAR) || ' USD' WHEN 3 THEN '1.2.' || CAST(p_size AS VARCHAR)
-       ELSE 'EUR ' || CAST(p_partkey AS VARCHAR) || ',99' END AS price_text,
-  CASE p_size % 4 WHEN 0 THEN CAST(p_size - 3 AS VARCHAR) || '+' WHEN 1 THEN ' ' || CAST(p_size AS VARCHAR) || ' '
-       WHEN 2 THEN CAST(p_size AS VARCHAR) || '.0' ELSE 'abc' END AS age_text,
-  CASE WHEN p_size % 3 = 0 THEN NULL
-       ELSE CAST(p_partkey AS VARCHAR) || ',000 .. ' || CAST(p_partkey * 2 AS VARCHAR) || ',000' END AS owners_raw,
-  CAST(round(p_retailprice * 100) AS BIGINT) AS cents,
-  CASE WHEN p_size % 2 = 0 THEN 'Mar ' || CAST(p_size AS VARCHAR) || ', ' || CAST(1990 + p_size AS VARCHAR)
-       ELSE CAST(1990 + p_size AS VARCHAR) || '-01-01' END AS date_text"""
+# Text inputs built from ``part``; each entry is one SQL expression that both
+# engines evaluate (``{t}`` is the string type name of the engine).
+_TEXT_EXPRS = [
+    "CASE p_size % 5 WHEN 0 THEN 'Free' WHEN 1 THEN '$' || CAST(p_retailprice AS {t}) "
+    "WHEN 2 THEN CAST(p_retailprice AS {t}) || ' USD' WHEN 3 THEN '1.2.' || CAST(p_size AS {t}) "
+    "ELSE 'EUR ' || CAST(p_partkey AS {t}) || ',99' END AS price_text",
+    "CASE p_size % 4 WHEN 0 THEN CAST(p_size - 3 AS {t}) || '+' WHEN 1 THEN ' ' || CAST(p_size AS {t}) || ' ' "
+    "WHEN 2 THEN CAST(p_size AS {t}) || '.0' ELSE 'abc' END AS age_text",
+    "CASE WHEN p_size % 3 = 0 THEN NULL "
+    "ELSE CAST(p_partkey AS {t}) || ',000 .. ' || CAST(p_partkey * 2 AS {t}) || ',000' END AS owners_raw",
+    "CAST(round(p_retailprice * 100) AS BIGINT) AS cents",
+    "CASE WHEN p_size % 2 = 0 THEN 'Mar ' || CAST(p_size AS {t}) || ', ' || CAST(1990 + p_size AS {t}) "
+    "ELSE CAST(1990 + p_size AS {t}) || '-01-01' END AS date_text",
+]
+_TEXTS = ",\n  ".join(e.format(t="VARCHAR") for e in _TEXT_EXPRS)
 
 
 @register("scalar_parsers", f"""
@@ -354,7 +358,7 @@ SELECT p_partkey,
 FROM u""")
 def scalar_parsers(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = testdata.read_table(spark, sf_dir, "part")
-    t = part.select("p_partkey", *[F.expr(e.strip()) for e in _split_exprs(_TEXTS)])
+    t = part.select("p_partkey", *[F.expr(e.format(t="STRING")) for e in _TEXT_EXPRS])
     owners = X.owners_text("owners_raw")
     return round_doubles(t.select(
         "p_partkey",
@@ -366,24 +370,6 @@ def scalar_parsers(spark: SparkSession, sf_dir: str) -> DataFrame:
         X.release_year("date_text").alias("release_year")))
 
 
-def _split_exprs(text: str) -> list[str]:
-    """Split the shared ``_TEXTS`` select list on top-level commas."""
-    out, depth, cur, quote = [], 0, [], False
-    for ch in text:
-        if ch == "'":
-            quote = not quote
-        if not quote:
-            depth += ch == "("
-            depth -= ch == ")"
-            if ch == "," and depth == 0:
-                out.append("".join(cur))
-                cur = []
-                continue
-        cur.append(ch)
-    out.append("".join(cur))
-    return [e.replace("VARCHAR", "STRING") for e in out if e.strip()]
-
-
 # --- file round trips (SNK1, SNK5, SRC2, SRC5) ---------------------------------------------------
 
 @register("parquet_round_trip", with_base("SELECT " + _base_select({}) + " FROM base"))

@@ -140,4 +140,3 @@ STATUS_SCHEMA = _struct(("app_id", S), ("status", S))
 # Status names.
 PROCESSED, DISCARDED, NOT_RELEASED = "processed", "discarded", "notreleased"
 ADDED, FAILED = "added", "failed"
-STATUS_OF_OUTCOME = {ADDED: PROCESSED, "not_released": NOT_RELEASED, "discarded": DISCARDED}

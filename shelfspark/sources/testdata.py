@@ -3,7 +3,7 @@
 The driver ships no catalog payloads, so the 29-column base table is derived
 from ``part, lineitem, orders, nation, region`` with one SQL text. Spark runs
 it with the tables bound as DataFrames; the DuckDB oracle runs the very same
-text against its registered views (``base_sql(None)``).
+text against its registered views (``base_sql()``).
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ JOIN {region} ON r_regionkey = n1.n_regionkey
 _BASE_TABLES = ("part", "lineitem", "orders", "nation", "region")
 
 
-def base_sql(prefix: str | None = None) -> str:
+def base_sql() -> str:
     """The adapter SQL with bare table names (for DuckDB), as one SELECT."""
     return _BASE_SQL.format(**{t: t for t in _BASE_TABLES}).strip()
 

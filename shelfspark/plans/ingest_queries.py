@@ -414,3 +414,47 @@ def ingest_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _two_runs(spark, sf_dir, "ingest_merged")
     merged = spark.read.parquet(f"{root}/merged")
     return round_doubles(merged.select("app_id", *_enriched_columns()))
+
+
+# --- app list and ID sets in the catalog's JSON form (SRC3, SRC6, SNK4) -------------------------
+
+@register("app_list_scan", "SELECT CAST(p_partkey AS VARCHAR) AS app_id FROM part")
+def app_list_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part key lands in chunked app-list payloads and is read back."""
+    path = _scratch(spark, "app_list_scan", sf_dir)
+    part = testdata.read_table(spark, sf_dir, "part")
+    sinks.write_app_list(part.select(F.col("p_partkey").alias("app_id")), path, chunk_rows=CHUNK_ROWS)
+    return sources.app_list(spark, path)
+
+
+@register("id_set_round_trip", """
+SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS app_id, 'discarded' AS status
+FROM customer WHERE c_acctbal < 0""")
+def id_set_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A status set saved as JSON id arrays (with repeats) and loaded as a set."""
+    path = _scratch(spark, "id_set_round_trip", sf_dir)
+    c = testdata.read_table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0)
+    ids = c.select(F.col("c_custkey").alias("app_id"))
+    sinks.write_id_sets(ids.unionByName(ids), path, chunk_rows=CHUNK_ROWS)
+    return sources.id_set(spark, path, status=S.DISCARDED)
+
+
+# --- the ingest as a stream over a landing folder ---------------------------------------------------
+
+@register("ingest_stream_status", _with_cls(r"""
+SELECT app_id, CASE outcome WHEN 'added' THEN 'processed' WHEN 'not_released' THEN 'notreleased'
+                            ELSE 'discarded' END AS status
+FROM cls WHERE outcome <> 'failed'"""))
+def ingest_stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies land in two parts; two available-now stream runs ingest them."""
+    import uuid
+
+    from ..streaming.landing import ingest_stream
+    root = f"{_scratch(spark, 'ingest_stream', sf_dir)}/{uuid.uuid4().hex}"
+    _, primary, stats = payloads.landed(spark, sf_dir)
+    k = F.col("app_id").cast("bigint")
+    for part in (0, 1):
+        primary.where(k % 2 == part).write.mode("overwrite").parquet(f"{root}/landing/part={part}")
+        ingest_stream(spark, f"{root}/landing/part=*", f"{root}/out", stats=stats,
+                      checkpoint=f"{root}/checkpoint", merge_each_batch=False).awaitTermination()
+    return jobs.current_status(spark, f"{root}/out")

@@ -22,6 +22,42 @@ LOCAL_CONF = {
 }
 
 
+# Settings for large runs (hundreds of TB, ~1000 executors). Shuffles start
+# wide and AQE coalesces them to ~256 MB partitions, splits skewed join
+# partitions, and scans split files at 256 MB. Broadcasts stay behind Spark's
+# measured-size threshold.
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
+def tune_for_scale(spark: SparkSession, overrides: dict[str, str] | None = None) -> dict[str, str]:
+    """Apply ``SCALE_CONF`` to keys the launch configuration does not name.
+
+    Keys given at launch (``--conf`` / ``spark-defaults``) win; returns what
+    was set. Call once at the start of a large job.
+    """
+    launched = spark.sparkContext.getConf()
+    wanted = {**SCALE_CONF, **(overrides or {})}
+    applied = {}
+    for key, value in wanted.items():
+        if not launched.contains(key):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
                   app_name: str = "shelfspark") -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on)."""

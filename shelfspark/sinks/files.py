@@ -46,3 +46,29 @@ def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite
         write_parquet(df, path, mode)
         out.append(path)
     return out
+
+
+def write_id_sets(ids: DataFrame, path: str, chunk_rows: int = DEFAULT_CHUNK_SIZE,
+                  key: str = "app_id") -> None:
+    """SNK4 in the catalog's JSON form: files of JSON arrays of id strings.
+
+    Ids are grouped into chunks of at most ``chunk_rows`` (by a row number
+    within each input partition, so no shuffle orders the whole set), and each
+    chunk becomes one ``["id", ...]`` line: one group never holds more than
+    ``chunk_rows`` ids. Readable with ``sources.files.id_set``.
+    """
+    chunk = F.floor(F.monotonically_increasing_id() / F.lit(int(chunk_rows)))
+    lines = (ids.select(F.col(key).cast("string").alias("id"), chunk.alias("_chunk"))
+             .groupBy("_chunk").agg(F.to_json(F.collect_list("id")).alias("value")))
+    lines.select("value").write.mode("overwrite").text(path)
+
+
+def write_app_list(ids: DataFrame, path: str, chunk_rows: int = DEFAULT_CHUNK_SIZE,
+                   key: str = "app_id") -> None:
+    """App-list payloads ``{"applist": {"apps": [{"appid": ..}, ..]}}``, one per
+    chunk of at most ``chunk_rows`` ids, one object per file line."""
+    chunk = F.floor(F.monotonically_increasing_id() / F.lit(int(chunk_rows)))
+    apps = F.collect_list(F.struct(F.col(key).alias("appid")))
+    lines = (ids.select(key, chunk.alias("_chunk")).groupBy("_chunk")
+             .agg(F.to_json(F.struct(F.struct(apps.alias("apps")).alias("applist"))).alias("value")))
+    lines.select("value").write.mode("overwrite").text(path)

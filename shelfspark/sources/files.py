@@ -78,23 +78,30 @@ def json_lines_records(spark: SparkSession, path: str) -> DataFrame:
                       F.col("value").alias("record"))
 
 
-def app_list(spark: SparkSession, path: str) -> DataFrame:
+def app_list(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """SRC3: ``{"applist": {"apps": [{"appid": 1}, ...]}}`` -> ``(app_id STRING)``.
 
-    Also reads a cached list (a JSON array of id strings or numbers).
+    Also reads a cached list (a JSON array of id strings or numbers). By
+    default each line holds one document, so files and lines read in
+    parallel; ``multiline=True`` reads one (pretty-printed) document per file.
     """
-    text = spark.read.text(path, wholetext=True)
+    text = spark.read.text(path, wholetext=multiline)
     payload = F.from_json("value", "applist struct<apps: array<struct<appid: string>>>")
     cached = F.from_json("value", "array<string>")
     ids = F.coalesce(F.transform(payload["applist"]["apps"], lambda a: a["appid"]), cached)
     return text.select(F.explode(ids).alias("app_id")).select(F.col("app_id").cast("string"))
 
 
-def id_set(spark: SparkSession, path: str, status: str | None = None) -> DataFrame:
-    """SRC6: a JSON array of ids -> distinct ``(app_id[, status])``; missing -> empty."""
+def id_set(spark: SparkSession, path: str, status: str | None = None,
+           multiline: bool = False) -> DataFrame:
+    """SRC6: JSON arrays of ids (one per line) -> distinct ``(app_id[, status])``.
+
+    ``multiline=True`` reads one (pretty-printed) array per file. A missing
+    path is the empty set.
+    """
     schema = S.STATUS_SCHEMA if status else T.StructType([T.StructField("app_id", T.StringType())])
     try:
-        text = spark.read.text(path, wholetext=True)
+        text = spark.read.text(path, wholetext=multiline)
     except AnalysisException as ex:
         if ex.getCondition() == "PATH_NOT_FOUND" or "Path does not exist" in str(ex):
             return spark.createDataFrame([], schema)

@@ -73,3 +73,16 @@ def test_stream_equals_batch(spark, scratch):
     batched = {tuple(r) for r in jobs.current_status(spark, f"{scratch}/batch").collect()}
     assert streamed == batched and len(batched) > 0
     assert os.path.isdir(f"{scratch}/stream/merged".replace("file:", ""))
+
+
+def test_tune_for_scale_keeps_launch_settings(spark):
+    from shelfspark.session import tune_for_scale
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    applied = tune_for_scale(spark)
+    try:
+        assert "spark.sql.shuffle.partitions" not in applied  # set at launch by the fixture
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    finally:
+        for key in applied:
+            spark.conf.unset(key)

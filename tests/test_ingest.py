@@ -137,6 +137,12 @@ def test_app_list_f4(spark, scratch):
     spark.createDataFrame([('{"applist": {"apps": [{"appid": 1}, {"appid": 2}, {"appid": 3}]}}',)],
                           "value string").coalesce(1).write.text(p)
     assert sorted(r["app_id"] for r in sources.app_list(spark, p).collect()) == ["1", "2", "3"]
+    pretty = f"{scratch}/applist_pretty.json"
+    import os
+    os.makedirs(scratch, exist_ok=True)
+    with open(pretty, "w") as fh:
+        json.dump({"applist": {"apps": [{"appid": 7}, {"appid": 8}]}}, fh, indent=4)
+    assert sorted(r[0] for r in sources.app_list(spark, pretty, multiline=True).collect()) == ["7", "8"]
 
 
 def test_chunks_f5_numeric_last_wins(spark, scratch):
@@ -172,6 +178,10 @@ def test_id_sets_f7(spark, scratch):
     spark.createDataFrame([('["1", "2", "3", "3"]',)], "value string").coalesce(1).write.text(p)
     assert sorted(r["app_id"] for r in sources.id_set(spark, p).collect()) == ["1", "2", "3"]
     assert sources.id_set(spark, f"{scratch}/missing.json").count() == 0
+    with open(f"{scratch}/discarded.json", "w") as fh:
+        json.dump(["4", "5"], fh, indent=4)
+    assert sorted(r[0] for r in sources.id_set(spark, f"{scratch}/discarded.json", multiline=True)
+                  .collect()) == ["4", "5"]
     old = spark.createDataFrame([("1", S.PROCESSED), ("2", S.PROCESSED), ("5", S.NOT_RELEASED)],
                                 "app_id string, status string")
     outcomes = spark.createDataFrame([("3", "added"), ("4", "added"), ("5", "added"), ("6", "failed")],

@@ -5,8 +5,10 @@ Quartiles are exact, "nearest" rank: the value at 0-based index
 
 Plan (no single-partition window over rows):
   1. histogram ``(v, c)`` of distinct values — partial aggregation first;
-  2. ``B`` equal-width value buckets (B fixed, so the bucket-total table has
-     at most ``B + 1`` rows: its broadcast has a proven bound);
+  2. ``B`` equal-width value buckets; B grows with the number of distinct
+     values (about ``VALUES_PER_BUCKET`` per bucket) between ``MIN_BUCKETS``
+     and ``MAX_BUCKETS``, so the bucket-total table has at most
+     ``MAX_BUCKETS + 1`` rows: its broadcast has a proven bound;
   3. prefix sums: bucket offsets from the small bucket table, then running
      counts inside each bucket (a window partitioned by bucket);
   4. quantile = min value whose running count passes the target index.
@@ -20,20 +22,25 @@ from pyspark.sql import functions as F
 # Statistic names, in output order.
 STATISTICS = ("count", "null_count", "mean", "std", "min", "25%", "50%", "75%", "max")
 QUARTILES = (0.25, 0.5, 0.75)
-DEFAULT_BUCKETS = 1024
+MIN_BUCKETS, MAX_BUCKETS, VALUES_PER_BUCKET = 1024, 1_000_000, 200_000
 
 
 def nearest_rank_quantiles(df: DataFrame, col: str, qs=QUARTILES,
-                           buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                           buckets: int | None = None) -> DataFrame:
     """One row with one DOUBLE column ``q0, q1, ...`` per requested quantile."""
     v = F.col(col).cast("double")
     hist = (df.select(v.alias("v")).where(F.col("v").isNotNull())
             .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
     bounds = hist.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"),
-                               F.sum("c").alias("n")).alias("b")).scalar()
+                               F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).alias("b")).scalar()
     lo, hi, n = bounds["lo"], bounds["hi"], bounds["n"]
+    if buckets is None:
+        nb = F.least(F.lit(MAX_BUCKETS), F.greatest(
+            F.lit(MIN_BUCKETS), F.ceil(bounds["d"] / F.lit(VALUES_PER_BUCKET)))).cast("double")
+    else:
+        nb = F.lit(float(min(max(int(buckets), 1), MAX_BUCKETS)))
 
-    bucket = F.when(hi > lo, F.floor((F.col("v") - lo) / (hi - lo) * F.lit(buckets))) \
+    bucket = F.when(hi > lo, F.least(F.floor((F.col("v") - lo) / (hi - lo) * nb), nb)) \
         .otherwise(F.lit(0)).cast("int")
     hb = hist.withColumn("b", bucket)
 
@@ -52,7 +59,7 @@ def nearest_rank_quantiles(df: DataFrame, col: str, qs=QUARTILES,
     return ranked.agg(*aggs)
 
 
-def describe(df: DataFrame, col: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def describe(df: DataFrame, col: str, buckets: int | None = None) -> DataFrame:
     """``statistic STRING, <col> DOUBLE``: nine rows in a fixed order."""
     c = F.col(col).cast("double")
     quart = nearest_rank_quantiles(df, col, QUARTILES, buckets)

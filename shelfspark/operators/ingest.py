@@ -201,8 +201,9 @@ def classify(work: DataFrame, primary: DataFrame, stats: DataFrame | None = None
                    F.when(F.col("outcome") == S.ADDED, F.col("rec")).alias("record")))
     if stats is None:
         return out
-    added = out.where(F.col("outcome") == S.ADDED).select(app_id)
-    parsed_stats = parse_stats(stats.join(added, app_id, "left_semi"), app_id=app_id)
+    # stats are cut to the work list too (not to the added apps: that would
+    # recompute the classification); non-added apps ignore their stats below
+    parsed_stats = parse_stats(stats.join(work, app_id, "left_semi"), app_id=app_id)
     joined = out.join(parsed_stats, app_id, "left")
     enriched = F.struct(F.col("record.*"), *stats_columns(F.col("stats")))
     return joined.select(app_id, "outcome",

@@ -19,12 +19,24 @@ from .. import schema as S
 CHUNK_NUMBER = r"chunk(?:_(\d+)\.json|=(\d+)/)"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists on its file system (None if it cannot be asked)."""
+    try:
+        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # no JVM gateway (e.g. Spark Connect): let the read decide
+        return None
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   fmt: str = "parquet") -> DataFrame:
     """SRC2: read ``path``; a missing path is an empty table of ``schema``.
 
     Only a missing path is swallowed; any other error is raised.
     """
+    if path_exists(spark, path) is False:
+        return spark.createDataFrame([], schema)
     try:
         reader = spark.read.schema(schema)
         return reader.format(fmt).load(path)
@@ -100,6 +112,8 @@ def id_set(spark: SparkSession, path: str, status: str | None = None,
     path is the empty set.
     """
     schema = S.STATUS_SCHEMA if status else T.StructType([T.StructField("app_id", T.StringType())])
+    if path_exists(spark, path) is False:
+        return spark.createDataFrame([], schema)
     try:
         text = spark.read.text(path, wholetext=multiline)
     except AnalysisException as ex:

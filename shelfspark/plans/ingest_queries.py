@@ -458,3 +458,17 @@ def ingest_stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest_stream(spark, f"{root}/landing/part=*", f"{root}/out", stats=stats,
                       checkpoint=f"{root}/checkpoint", merge_each_batch=False).awaitTermination()
     return jobs.current_status(spark, f"{root}/out")
+
+
+# --- collector then transformer: ingest -> merge -> flatten -> report (DF2, SNK3, DF3, R1) ----------
+
+@register("ingested_genre_counts", _with_cls(r"""
+SELECT genre, count(*) AS count
+FROM (SELECT regexp_replace(g, '^\s+|\s+$', '', 'g') AS genre
+      FROM (SELECT unnest(string_split(genres, ',')) AS g FROM cls WHERE outcome = 'added'))
+GROUP BY genre"""))
+def ingested_genre_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The genre report over the catalog that the ingest job itself produced."""
+    from .reports import genre_counts
+    root = _two_runs(spark, sf_dir, "ingested_genre_counts")
+    return genre_counts(jobs.catalog_from_merged(spark, root))

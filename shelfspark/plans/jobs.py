@@ -166,6 +166,11 @@ def catalog_from_merged(spark: SparkSession, root: str) -> DataFrame:
     return flatten_struct(spark.read.parquet(_p(root, "merged")))
 
 
+def transform(spark: SparkSession, root: str, out: str, base_name: str = "catalog") -> dict[str, str]:
+    """DF3 + DF5 over ingested data: merged records -> base table -> reports."""
+    return publish(catalog_from_merged(spark, root), out, base_name)
+
+
 def publish(base: DataFrame, out: str, base_name: str = "catalog") -> dict[str, str]:
     """DF5: write the base table, then every report computed from the written copy."""
     spark = base.sparkSession

@@ -84,6 +84,11 @@ def safe_int(c: ColumnOrName, default: int = 0) -> Column:
     return F.coalesce(cleaned.try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
+def whole_number(c: ColumnOrName, default: int = 0) -> Column:
+    """A JSON number (int or float, as text) truncated to BIGINT; else ``default`` (SCL22)."""
+    return F.coalesce(_col(c).try_cast("double").try_cast("bigint"), F.lit(default).cast("bigint"))
+
+
 def fill_null(c: ColumnOrName, value) -> Column:
     """``fill_null`` (SCL6)."""
     return F.coalesce(_col(c), F.lit(value))

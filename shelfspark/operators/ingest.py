@@ -102,9 +102,9 @@ def normalise(data: Column) -> Column:
         F.coalesce(d["platforms"]["windows"], F.lit(False)).alias("windows"),
         F.coalesce(d["platforms"]["mac"], F.lit(False)).alias("mac"),
         F.coalesce(d["platforms"]["linux"], F.lit(False)).alias("linux"),
-        F.coalesce(d["metacritic"]["score"], F.lit(0)).cast("bigint").alias("metacritic_score"),
-        F.coalesce(d["achievements"]["total"], F.lit(0)).cast("bigint").alias("achievements"),
-        F.coalesce(d["recommendations"]["total"], F.lit(0)).cast("bigint").alias("recommendations"),
+        X.whole_number(d["metacritic"]["score"]).alias("metacritic_score"),
+        X.whole_number(d["achievements"]["total"]).alias("achievements"),
+        X.whole_number(d["recommendations"]["total"]).alias("recommendations"),
         X.sanitize_text(F.coalesce(d["content_descriptors"]["notes"], F.lit(""))).alias("notes"),
         X.supported_languages(d["supported_languages"]).alias("supported_languages"),
         X.full_audio_languages(d["supported_languages"]).alias("full_audio_languages"),

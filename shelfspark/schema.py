@@ -17,7 +17,8 @@ def _array(t: T.DataType) -> T.ArrayType:
 
 # --- raw primary-store payload (the ``data`` object of one app) -------------
 # required_age is STRING: it arrives as a number or as text such as "18+",
-# and a STRING field keeps both spellings.
+# and a STRING field keeps both spellings. The counters (score, totals) are
+# STRING too so that 85 and 85.0 both convert like Python's int().
 SUB_RAW = _struct(("option_text", S), ("option_description", S),
                   ("price_in_cents_with_discount", S))
 PACKAGE_GROUP_RAW = _struct(("title", S), ("description", S), ("subs", _array(SUB_RAW)))
@@ -35,9 +36,9 @@ APP_DATA_RAW = _struct(
     ("short_description", S),
     ("release_date", _struct(("coming_soon", B), ("date", S))),
     ("platforms", _struct(("windows", B), ("mac", B), ("linux", B))),
-    ("metacritic", _struct(("score", L))),
-    ("achievements", _struct(("total", L))),
-    ("recommendations", _struct(("total", L))),
+    ("metacritic", _struct(("score", S))),
+    ("achievements", _struct(("total", S))),
+    ("recommendations", _struct(("total", S))),
     ("content_descriptors", _struct(("notes", S))),
     ("supported_languages", S),
     ("developers", _array(S)),

@@ -89,3 +89,10 @@ def test_tags_map(spark):
 def test_split_keeps_empty(spark):
     assert one(spark, "", lambda c: X.split_strip(c, ",")) == [""]
     assert one(spark, "a, b ,", lambda c: X.split_strip(c, ",")) == ["a", "b", ""]
+
+
+def test_whole_number(spark):
+    assert one(spark, "85", X.whole_number) == 85
+    assert one(spark, "85.7", X.whole_number) == 85
+    assert one(spark, None, X.whole_number) == 0
+    assert one(spark, "x", X.whole_number) == 0

@@ -146,9 +146,12 @@ _LANDING_LOCK = threading.Lock()
 def land(spark: SparkSession, sf_dir: str, root: str) -> str:
     """Write the apps, primary and stats tables as Parquet under ``root``."""
     base = testdata.catalog(spark, sf_dir)
+    # a landing zone holds many files (one per fetch batch); spread the bodies
+    # over as many files as the session has cores so reads parse in parallel
+    files = max(spark.sparkContext.defaultParallelism, 1)
     base.select("app_id").write.mode("overwrite").parquet(f"{root}/apps")
-    primary_bodies(base).write.mode("overwrite").parquet(f"{root}/primary")
-    stats_bodies(base).write.mode("overwrite").parquet(f"{root}/stats")
+    primary_bodies(base).repartition(files).write.mode("overwrite").parquet(f"{root}/primary")
+    stats_bodies(base).repartition(files).write.mode("overwrite").parquet(f"{root}/stats")
     return root
 
 

@@ -4,7 +4,7 @@ publish (DF5) and load (DF6).
 Ingest folder layout under ``root`` (a shared folder):
 
   outcomes/run=<n>/   every work-list app of run n with its outcome (Parquet)
-  records/batch_id=<n>/  added records of run n, ``chunk_size`` per file (JSON)
+  records/batch_id=<n>/  added records of run n, ``chunk_size`` per file (Parquet; JSON on request)
   status/run=<n>/     status changes of run n (Parquet, append-only log)
   summary/run=<n>/    run counters (Parquet)
   merged/             last-wins records over all batches (Parquet)
@@ -98,7 +98,8 @@ def next_run(spark: SparkSession, root: str) -> int:
 
 def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFrame,
                stats: DataFrame | None = None, released: bool = True,
-               chunk_size: int = sinks.DEFAULT_CHUNK_SIZE, run: int | None = None) -> DataFrame:
+               chunk_size: int = sinks.DEFAULT_CHUNK_SIZE, run: int | None = None,
+               records_format: str = "parquet") -> DataFrame:
     """DF2: one incremental run over landed payloads; returns the run summary.
 
     apps: ``(app_id)``; primary/stats: ``(app_id, body)``. ``stats=None``
@@ -119,7 +120,7 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
     written = spark.read.parquet(out_path).where(F.col("run") == run).drop("run")
 
     added = written.where(F.col("outcome") == S.ADDED).select("app_id", "record")
-    sinks.write_batch(added, _p(root, "records"), run, chunk_size=chunk_size)
+    sinks.write_batch(added, _p(root, "records"), run, chunk_size=chunk_size, fmt=records_format)
     sinks.write_batch(ingest.status_changes(written), _p(root, "status"), run,
                       fmt="parquet", column="run", chunk_size=1_000_000)
     summary = ingest.run_summary(apps, status, written)
@@ -127,17 +128,19 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
     return spark.read.parquet(_p(root, "summary")).where(F.col("run") == run)
 
 
-def merge(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
+def merge(spark: SparkSession, root: str, enriched: bool = True,
+          records_format: str = "parquet") -> DataFrame:
     """SNK3: last batch wins per app over all record batches; writes ``merged``."""
     schema = RECORDS if enriched else T.StructType([
         RECORDS["app_id"], T.StructField("record", S.RECORD), RECORDS["batch_id"]])
-    records = read_or_empty(spark, _p(root, "records"), schema, fmt="json")
+    records = read_or_empty(spark, _p(root, "records"), schema, fmt=records_format)
     merged = ingest.last_wins(records, "app_id", "batch_id")
     sinks.write_parquet(merged, _p(root, "merged"))
     return spark.read.parquet(_p(root, "merged"))
 
 
-def merge_incremental(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
+def merge_incremental(spark: SparkSession, root: str, enriched: bool = True,
+                      records_format: str = "parquet") -> DataFrame:
     """SNK3 without re-reading old batches: last merged snapshot + newer batches.
 
     Writes ``merged_snapshot/upto=<b>`` (b = highest batch folded in) and
@@ -146,7 +149,7 @@ def merge_incremental(spark: SparkSession, root: str, enriched: bool = True) ->
     schema = RECORDS if enriched else T.StructType([
         RECORDS["app_id"], T.StructField("record", S.RECORD), RECORDS["batch_id"]])
     snaps = _snapshots(spark, _p(root, "merged_snapshot"))
-    records = read_or_empty(spark, _p(root, "records"), schema, fmt="json")
+    records = read_or_empty(spark, _p(root, "records"), schema, fmt=records_format)
     if snaps:
         prev = spark.read.parquet(_p(root, "merged_snapshot", f"upto={snaps[-1]}"))
         records = prev.select(*schema.fieldNames()).unionByName(

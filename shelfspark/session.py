@@ -48,11 +48,12 @@ def tune_for_scale(spark: SparkSession, overrides: dict[str, str] | None = None)
     Keys given at launch (``--conf`` / ``spark-defaults``) win; returns what
     was set. Call once at the start of a large job.
     """
-    launched = spark.sparkContext.getConf()
+    sc = _context(spark)
+    launched = sc.getConf() if sc is not None else None
     wanted = {**SCALE_CONF, **(overrides or {})}
     applied = {}
     for key, value in wanted.items():
-        if not launched.contains(key):
+        if launched is None or not launched.contains(key):
             spark.conf.set(key, value)
             applied[key] = value
     return applied
@@ -80,15 +81,37 @@ def shared_dir(spark: SparkSession) -> str:
     set one under the session's warehouse directory.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         path = warehouse.rstrip("/") + "/_shelfspark_checkpoints"
         spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+        if sc is not None:
+            sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def session_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "session")
+
+
+def parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return max(sc.defaultParallelism, 1)
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), *parts])

@@ -22,7 +22,8 @@ CHUNK_NUMBER = r"chunk(?:_(\d+)\.json|=(\d+)/)"
 def path_exists(spark: SparkSession, path: str) -> bool | None:
     """Whether ``path`` exists on its file system (None if it cannot be asked)."""
     try:
-        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+        sc = spark.sparkContext
+        jvm, jsc = sc._jvm, sc._jsc
         p = jvm.org.apache.hadoop.fs.Path(path)
         return bool(p.getFileSystem(jsc.hadoopConfiguration()).exists(p))
     except Exception:  # no JVM gateway (e.g. Spark Connect): let the read decide

@@ -148,7 +148,8 @@ def land(spark: SparkSession, sf_dir: str, root: str) -> str:
     base = testdata.catalog(spark, sf_dir)
     # a landing zone holds many files (one per fetch batch); spread the bodies
     # over as many files as the session has cores so reads parse in parallel
-    files = max(spark.sparkContext.defaultParallelism, 1)
+    from ..session import parallelism
+    files = parallelism(spark)
     base.select("app_id").write.mode("overwrite").parquet(f"{root}/apps")
     primary_bodies(base).repartition(files).write.mode("overwrite").parquet(f"{root}/primary")
     stats_bodies(base).repartition(files).write.mode("overwrite").parquet(f"{root}/stats")
@@ -164,8 +165,8 @@ def landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     """
     import hashlib
 
-    from ..session import shared_path
-    key = (spark.sparkContext.applicationId, sf_dir)
+    from ..session import session_id, shared_path
+    key = (session_id(spark), sf_dir)
     with _LANDING_LOCK:
         if key not in _LANDED:
             tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]

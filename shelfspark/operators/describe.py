@@ -3,14 +3,18 @@
 Quartiles are exact, "nearest" rank: the value at 0-based index
 ``floor((n - 1) * q + 0.5)`` of the sorted non-null values.
 
-Plan (no single-partition window over rows):
-  1. histogram ``(v, c)`` of distinct values — partial aggregation first;
+Plan: one pass over the rows, pre-aggregated before any shuffle.
+  1. histogram ``(v, c)`` of distinct values, NULL included — partial
+     aggregation in every task; every statistic is computed from it:
+     count, null_count, min, max and mean directly, the sample std as
+     ``sqrt(sum(c * (v - mean)^2) / (n - 1))`` (two-pass, numerically stable);
   2. ``B`` equal-width value buckets; B grows with the number of distinct
      values (about ``VALUES_PER_BUCKET`` per bucket) between ``MIN_BUCKETS``
      and ``MAX_BUCKETS``, so the bucket-total table has at most
      ``MAX_BUCKETS + 1`` rows: its broadcast has a proven bound;
   3. prefix sums: bucket offsets from the small bucket table, then running
-     counts inside each bucket (a window partitioned by bucket);
+     counts inside each bucket (a window partitioned by bucket) — no global
+     sort and no single-partition window over rows;
   4. quantile = min value whose running count passes the target index.
 """
 
@@ -25,60 +29,74 @@ QUARTILES = (0.25, 0.5, 0.75)
 MIN_BUCKETS, MAX_BUCKETS, VALUES_PER_BUCKET = 1024, 1_000_000, 200_000
 
 
-def nearest_rank_quantiles(df: DataFrame, col: str, qs=QUARTILES,
-                           buckets: int | None = None) -> DataFrame:
-    """One row with one DOUBLE column ``q0, q1, ...`` per requested quantile."""
+def _histogram(df: DataFrame, col: str) -> DataFrame:
     v = F.col(col).cast("double")
-    hist = (df.select(v.alias("v")).where(F.col("v").isNotNull())
-            .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    bounds = hist.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"),
-                               F.sum("c").alias("n"), F.count(F.lit(1)).alias("d")).alias("b")).scalar()
-    lo, hi, n = bounds["lo"], bounds["hi"], bounds["n"]
+    return df.select(v.alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+
+
+def _summary(hist: DataFrame) -> Column:
+    """One scalar struct over the histogram: lo, hi, n, nulls, d, mean."""
+    c, v = F.col("c"), F.col("v")
+    n = F.sum(F.when(v.isNotNull(), c))
+    return hist.agg(F.struct(
+        F.min(v).alias("lo"), F.max(v).alias("hi"), n.alias("n"),
+        F.coalesce(F.sum(F.when(v.isNull(), c)), F.lit(0)).alias("nulls"),
+        F.count(v).alias("d"),
+        (F.sum(v * c) / n).alias("mean")).alias("s")).scalar()
+
+
+def _ranked(hist: DataFrame, s: Column, buckets: int | None) -> DataFrame:
+    """Non-null histogram rows with ``cum`` = running count through ``v``."""
+    lo, hi = s["lo"], s["hi"]
     if buckets is None:
         nb = F.least(F.lit(MAX_BUCKETS), F.greatest(
-            F.lit(MIN_BUCKETS), F.ceil(bounds["d"] / F.lit(VALUES_PER_BUCKET)))).cast("double")
+            F.lit(MIN_BUCKETS), F.ceil(s["d"] / F.lit(VALUES_PER_BUCKET)))).cast("double")
     else:
         nb = F.lit(float(min(max(int(buckets), 1), MAX_BUCKETS)))
-
     bucket = F.when(hi > lo, F.least(F.floor((F.col("v") - lo) / (hi - lo) * nb), nb)) \
         .otherwise(F.lit(0)).cast("int")
-    hb = hist.withColumn("b", bucket)
+    hb = hist.where(F.col("v").isNotNull()).withColumn("b", bucket)
 
     totals = hb.groupBy("b").agg(F.sum("c").alias("bc"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("b", F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("offset"))
 
     within = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (hb.join(F.broadcast(offsets), "b")
-              .select("v", (F.col("offset") + F.sum("c").over(within)).alias("cum")))
+    return (hb.join(F.broadcast(offsets), "b")
+            .select("v", "c", (F.col("offset") + F.sum("c").over(within)).alias("cum")))
+
+
+def _quantile(n: Column, q: float) -> Column:
+    target = F.floor((n - F.lit(1)) * F.lit(float(q)) + F.lit(0.5))
+    return F.min(F.when(F.col("cum") > target, F.col("v")))
+
 
-    aggs = []
-    for i, q in enumerate(qs):
-        target = F.floor((n - F.lit(1)) * F.lit(float(q)) + F.lit(0.5))
-        aggs.append(F.min(F.when(F.col("cum") > target, F.col("v"))).alias(f"q{i}"))
-    return ranked.agg(*aggs)
+def nearest_rank_quantiles(df: DataFrame, col: str, qs=QUARTILES,
+                           buckets: int | None = None) -> DataFrame:
+    """One row with one DOUBLE column ``q0, q1, ...`` per requested quantile."""
+    hist = _histogram(df, col)
+    s = _summary(hist)
+    return _ranked(hist, s, buckets).agg(
+        *[_quantile(s["n"], q).alias(f"q{i}") for i, q in enumerate(qs)])
 
 
 def describe(df: DataFrame, col: str, buckets: int | None = None) -> DataFrame:
     """``statistic STRING, <col> DOUBLE``: nine rows in a fixed order."""
-    c = F.col(col).cast("double")
-    quart = nearest_rank_quantiles(df, col, QUARTILES, buckets)
-    q = quart.select(F.struct("q0", "q1", "q2").alias("q")).scalar()
-    stats = df.agg(
-        F.count(c).cast("double").alias("count"),
-        F.count_if(c.isNull()).cast("double").alias("null_count"),
-        F.avg(c).alias("mean"),
-        F.stddev_samp(c).alias("std"),
-        F.min(c).alias("min"),
-        F.max(c).alias("max"),
-    )
+    hist = _histogram(df, col)
+    s = _summary(hist)
+    n = s["n"]
+    dev = F.col("c") * F.pow(F.col("v") - s["mean"], 2)
+    agg = _ranked(hist, s, buckets).agg(
+        *[_quantile(n, q).alias(f"q{i}") for i, q in enumerate(QUARTILES)],
+        F.sqrt(F.sum(dev) / F.nullif(n - F.lit(1), F.lit(0))).alias("std"))
     values: list[Column] = [
-        F.col("count"), F.col("null_count"), F.col("mean"), F.col("std"), F.col("min"),
-        q["q0"], q["q1"], q["q2"], F.col("max"),
+        F.coalesce(n, F.lit(0)), s["nulls"], s["mean"], F.col("std"), s["lo"],
+        F.col("q0"), F.col("q1"), F.col("q2"), s["hi"],
     ]
     rows = F.array(*[
         F.struct(F.lit(i).alias("ord"), F.lit(name).alias("statistic"), val.cast("double").alias(col))
         for i, (name, val) in enumerate(zip(STATISTICS, values))
     ])
-    return (stats.select(F.inline(rows))
-            .orderBy("ord").select("statistic", col))
+    # nine rows from a one-row aggregate: ordered in place, no range shuffle
+    return (agg.select(F.inline(rows)).coalesce(1).sortWithinPartitions("ord")
+            .select("statistic", col))

@@ -174,16 +174,26 @@ def transform(spark: SparkSession, root: str, out: str, base_name: str = "catalo
     return publish(catalog_from_merged(spark, root), out, base_name)
 
 
-def publish(base: DataFrame, out: str, base_name: str = "catalog") -> dict[str, str]:
-    """DF5: write the base table, then every report computed from the written copy."""
+def publish(base: DataFrame, out: str, base_name: str = "catalog",
+            concurrent_jobs: int = 4) -> dict[str, str]:
+    """DF5: write the base table, then every report computed from the written copy.
+
+    The report jobs are independent, so up to ``concurrent_jobs`` of them are
+    submitted at once (one driver thread each); Spark schedules their tasks
+    side by side instead of leaving the cluster idle between small jobs.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = base.sparkSession
     base_path = _p(out, base_name)
     sinks.write_parquet(base, base_path)
     written = spark.read.parquet(base_path)
-    paths = {base_name: base_path}
-    for name, df in reports.generate_reports(written).items():
-        sinks.write_parquet(df, _p(out, name))
-        paths[name] = _p(out, name)
+    plans = reports.generate_reports(written)
+    paths = {base_name: base_path, **{name: _p(out, name) for name in plans}}
+    with ThreadPoolExecutor(max_workers=max(int(concurrent_jobs), 1)) as pool:
+        futures = [pool.submit(sinks.write_parquet, df, paths[name]) for name, df in plans.items()]
+        for f in futures:
+            f.result()
     return paths
 
 

@@ -8,6 +8,8 @@ text against its registered views (``base_sql()``).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -63,8 +65,24 @@ def base_sql() -> str:
     return _BASE_SQL.format(**{t: t for t in _BASE_TABLES}).strip()
 
 
+_READERS: dict[tuple, DataFrame] = {}
+_READERS_LOCK = threading.Lock()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A lazy reader for one driver table, created once per session.
+
+    The driver tables are read-only, so the reader (its file listing and
+    Parquet schema) is reused; every action still scans the files.
+    """
+    from ..session import session_id
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), session_id(spark), path)
+    with _READERS_LOCK:
+        df = _READERS.get(key)
+        if df is None:
+            df = _READERS[key] = spark.read.parquet(path)
+    return df
 
 
 def tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:

@@ -229,8 +229,8 @@ def last_wins(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*")
 
 
-def status_changes(outcomes: DataFrame, app_id: str = "app_id") -> DataFrame:
-    """SET1-SET3 as changes ``(app_id, status, present)`` of one run.
+def status_changes(outcomes: DataFrame, app_id: str = "app_id", keep=()) -> DataFrame:
+    """SET1-SET3 as changes ``(app_id, status, present, *keep)`` of one run.
 
     added -> +processed and −notreleased; not_released -> +notreleased;
     discarded -> +discarded; failed -> nothing.
@@ -241,9 +241,9 @@ def status_changes(outcomes: DataFrame, app_id: str = "app_id") -> DataFrame:
         F.when(o == S.ADDED, F.lit(S.PROCESSED))
          .when(o == NOT_RELEASED_OUTCOME, F.lit(S.NOT_RELEASED))
          .otherwise(F.lit(S.DISCARDED)).alias("status"),
-        F.lit(True).alias("present"))
+        F.lit(True).alias("present"), *keep)
     removes = outcomes.where(o == S.ADDED).select(
-        app_id, F.lit(S.NOT_RELEASED).alias("status"), F.lit(False).alias("present"))
+        app_id, F.lit(S.NOT_RELEASED).alias("status"), F.lit(False).alias("present"), *keep)
     return adds.unionByName(removes)
 
 

@@ -3,22 +3,24 @@ publish (DF5) and load (DF6).
 
 Ingest folder layout under ``root`` (a shared folder):
 
-  outcomes/run=<n>/   every work-list app of run n with its outcome (Parquet)
-  records/batch_id=<n>/  added records of run n, ``chunk_size`` per file (Parquet; JSON on request)
-  status/run=<n>/     status changes of run n (Parquet, append-only log)
+  outcomes/run=<n>/   every work-list app of run n: outcome, and the record
+                      when added — ``chunk_size`` rows per file (the chunk
+                      files of SNK2); the one log every other view reads
   summary/run=<n>/    run counters (Parquet)
-  merged/             last-wins records over all batches (Parquet)
+  merged/             last-wins records over all runs (Parquet)
   status_snapshot/upto=<r>/  compacted status sets as of run r (``compact``)
-  merged_snapshot/upto=<b>/  compacted last-wins records up to batch b (``merge_incremental``)
+  merged_snapshot/upto=<b>/  compacted last-wins records up to run b (``merge_incremental``)
 
-Each run first writes its outcomes and then derives every other output from
-that written table: the later writes never recompute the classification, and
-the lineage is cut there. Re-running run n replaces only run n's partitions.
+The status sets (processed / discarded / notreleased) and the record batches
+are views over ``outcomes``: a status read prunes the record column away, a
+merge reads only added rows. Each run writes its outcomes once; the summary
+is derived from that written table (lineage cut there), and re-running run n
+replaces only run n's partitions.
 
 Compaction keeps the per-run reads bounded as runs accumulate: a run reads the
-latest status snapshot taken before it plus the changes logged after that
+latest status snapshot taken before it plus the outcomes logged after that
 snapshot (partition-pruned), never the whole log; ``merge_incremental`` folds
-only the batches after the last merged snapshot into it. Snapshots go to their
+only the runs after the last merged snapshot into it. Snapshots go to their
 own paths, so no job overwrites what it reads.
 """
 
@@ -35,21 +37,32 @@ from ..sinks import files as sinks
 from ..sources.files import read_or_empty
 from . import reports
 
-STATUS_LOG = T.StructType([T.StructField("app_id", T.StringType()),
-                           T.StructField("status", T.StringType()),
-                           T.StructField("present", T.BooleanType()),
-                           T.StructField("run", T.LongType())])
-RECORDS = T.StructType([T.StructField("app_id", T.StringType()),
-                        T.StructField("record", S.ENRICHED_RECORD),
-                        T.StructField("batch_id", T.LongType())])
+OUTCOME_KEYS = T.StructType([T.StructField("app_id", T.StringType()),
+                             T.StructField("outcome", T.StringType()),
+                             T.StructField("run", T.LongType())])
 
 
 def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
+def _record_type(enriched: bool) -> T.StructType:
+    return S.ENRICHED_RECORD if enriched else S.RECORD
+
+
 def status_log(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_empty(spark, _p(root, "status"), STATUS_LOG)
+    """Status changes ``(app_id, status, present, run)`` of every run."""
+    keys = read_or_empty(spark, _p(root, "outcomes"), OUTCOME_KEYS)
+    return ingest.status_changes(keys, keep=("run",))
+
+
+def record_batches(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
+    """Added records of every run: ``(app_id, record, batch_id)``."""
+    schema = T.StructType([OUTCOME_KEYS["app_id"], OUTCOME_KEYS["outcome"],
+                           T.StructField("record", _record_type(enriched)), OUTCOME_KEYS["run"]])
+    o = read_or_empty(spark, _p(root, "outcomes"), schema)
+    return o.where(F.col("outcome") == S.ADDED).select(
+        "app_id", "record", F.col("run").alias("batch_id"))
 
 
 def _snapshots(spark: SparkSession, path: str) -> list[int]:
@@ -98,8 +111,7 @@ def next_run(spark: SparkSession, root: str) -> int:
 
 def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFrame,
                stats: DataFrame | None = None, released: bool = True,
-               chunk_size: int = sinks.DEFAULT_CHUNK_SIZE, run: int | None = None,
-               records_format: str = "parquet") -> DataFrame:
+               chunk_size: int = sinks.DEFAULT_CHUNK_SIZE, run: int | None = None) -> DataFrame:
     """DF2: one incremental run over landed payloads; returns the run summary.
 
     apps: ``(app_id)``; primary/stats: ``(app_id, body)``. ``stats=None``
@@ -111,53 +123,40 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
     work = ingest.work_list(apps, status, released)
     outcomes = ingest.classify(work, primary, stats)
     if stats is None:
-        outcomes = outcomes.select("app_id", "outcome", F.col("record").cast(
-            T.StructType(S.RECORD.fields)).alias("record"))
+        outcomes = outcomes.select("app_id", "outcome", F.col("record").cast(S.RECORD).alias("record"))
 
     out_path = _p(root, "outcomes")
-    sinks.write_batch(outcomes, out_path, run, fmt="parquet", column="run",
-                      chunk_size=1_000_000)
-    written = spark.read.parquet(out_path).where(F.col("run") == run).drop("run")
-
-    added = written.where(F.col("outcome") == S.ADDED).select("app_id", "record")
-    sinks.write_batch(added, _p(root, "records"), run, chunk_size=chunk_size, fmt=records_format)
-    sinks.write_batch(ingest.status_changes(written), _p(root, "status"), run,
-                      fmt="parquet", column="run", chunk_size=1_000_000)
+    sinks.write_batch(outcomes, out_path, run, fmt="parquet", column="run", chunk_size=chunk_size)
+    written = spark.read.parquet(out_path).where(F.col("run") == run).select("app_id", "outcome")
     summary = ingest.run_summary(apps, status, written)
     sinks.write_batch(summary, _p(root, "summary"), run, fmt="parquet", column="run")
     return spark.read.parquet(_p(root, "summary")).where(F.col("run") == run)
 
 
-def merge(spark: SparkSession, root: str, enriched: bool = True,
-          records_format: str = "parquet") -> DataFrame:
-    """SNK3: last batch wins per app over all record batches; writes ``merged``."""
-    schema = RECORDS if enriched else T.StructType([
-        RECORDS["app_id"], T.StructField("record", S.RECORD), RECORDS["batch_id"]])
-    records = read_or_empty(spark, _p(root, "records"), schema, fmt=records_format)
-    merged = ingest.last_wins(records, "app_id", "batch_id")
+def merge(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
+    """SNK3: last run wins per app over all added records; writes ``merged``."""
+    merged = ingest.last_wins(record_batches(spark, root, enriched), "app_id", "batch_id")
     sinks.write_parquet(merged, _p(root, "merged"))
     return spark.read.parquet(_p(root, "merged"))
 
 
-def merge_incremental(spark: SparkSession, root: str, enriched: bool = True,
-                      records_format: str = "parquet") -> DataFrame:
-    """SNK3 without re-reading old batches: last merged snapshot + newer batches.
+def merge_incremental(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
+    """SNK3 without re-reading old runs: last merged snapshot + newer runs.
 
-    Writes ``merged_snapshot/upto=<b>`` (b = highest batch folded in) and
-    returns it; equal to ``merge`` over all batches.
+    Writes ``merged_snapshot/upto=<b>`` (b = highest run folded in) and
+    returns it; equal to ``merge`` over all runs.
     """
-    schema = RECORDS if enriched else T.StructType([
-        RECORDS["app_id"], T.StructField("record", S.RECORD), RECORDS["batch_id"]])
     snaps = _snapshots(spark, _p(root, "merged_snapshot"))
-    records = read_or_empty(spark, _p(root, "records"), schema, fmt=records_format)
+    records = record_batches(spark, root, enriched)
     if snaps:
         prev = spark.read.parquet(_p(root, "merged_snapshot", f"upto={snaps[-1]}"))
-        records = prev.select(*schema.fieldNames()).unionByName(
+        records = prev.select("app_id", "record", "batch_id").unionByName(
             records.where(F.col("batch_id") > snaps[-1]))
     top = records.agg(F.max("batch_id")).first()[0]
     if top is None or (snaps and top <= snaps[-1]):
-        return spark.read.parquet(_p(root, "merged_snapshot", f"upto={snaps[-1]}")) if snaps \
-            else spark.createDataFrame([], schema)
+        if snaps:
+            return spark.read.parquet(_p(root, "merged_snapshot", f"upto={snaps[-1]}"))
+        return records.limit(0)
     merged = ingest.last_wins(records, "app_id", "batch_id")
     out = _p(root, "merged_snapshot", f"upto={int(top)}")
     sinks.write_parquet(merged, out)

@@ -266,14 +266,24 @@ def run_summary(apps: DataFrame, status: DataFrame, outcomes: DataFrame,
                 app_id: str = "app_id") -> DataFrame:
     """AGG7 + SCL26: counts per outcome, the expected total and percent added.
 
+    ``not_released`` counts only apps that were not already in the
+    not-released set (a known one found unreleased again is no news).
     total = apps − discarded − notreleased − processed, with the set sizes
     taken before the run (an app in two sets counts in both).
     """
     n_apps = apps.agg(F.count_distinct(app_id)).scalar()
     n_known = status.groupBy("status").agg(F.count_distinct(app_id).alias("n")) \
         .agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    known_nr = status.where(F.col("status") == S.NOT_RELEASED).select(app_id).distinct() \
+        .withColumn("_known_nr", F.lit(True))
     o = F.col("outcome")
-    counts = outcomes.agg(*[F.count_if(o == name).alias(name) for name in OUTCOMES])
+    marked = outcomes.join(known_nr, app_id, "left")
+    new_nr = (o == NOT_RELEASED_OUTCOME) & F.col("_known_nr").isNull()
+    counts = marked.agg(
+        F.count_if(o == S.ADDED).alias(S.ADDED),
+        F.count_if(new_nr).alias(NOT_RELEASED_OUTCOME),
+        F.count_if(o == DISCARDED_OUTCOME).alias(DISCARDED_OUTCOME),
+        F.count_if(o == S.FAILED).alias(S.FAILED))
     total = (n_apps - n_known).cast("bigint")
     return counts.select(*OUTCOMES, total.alias("total"),
                          X.percent(F.col(S.ADDED), total).alias("percent_added"))

@@ -243,3 +243,17 @@ def test_compaction_and_incremental_merge_equal_full(spark, scratch):
     inc = {(r["app_id"], r["record"]["name"])
            for r in jobs.merge_incremental(spark, f"{scratch}/compact", False).collect()}
     assert full == inc == {("1", "a"), ("2", "b2"), ("3", "c")}
+
+
+def test_not_released_counter_counts_only_new(spark, scratch):
+    """With released=False a known unreleased app is fetched again; if still
+    unreleased it stays in the set but is not counted as news."""
+    game = {"type": "game", "developers": ["D"], "release_date": {"date": ""}}
+    primary = bodies(spark, [("1", body("1", game)), ("2", body("2", game))])
+    apps = spark.createDataFrame([("1",), ("2",)], "app_id string")
+    s1 = jobs.ingest_run(spark, scratch, apps.where("app_id = '1'"), primary, None).first()
+    assert s1["not_released"] == 1
+    s2 = jobs.ingest_run(spark, scratch, apps, primary, None, released=False).first()
+    assert s2["not_released"] == 1  # app 2 is new, app 1 was known
+    status = {tuple(r) for r in jobs.current_status(spark, scratch).collect()}
+    assert status == {("1", "notreleased"), ("2", "notreleased")}

@@ -100,12 +100,14 @@ def primary_data(base: DataFrame) -> Column:
 def primary_bodies(base: DataFrame) -> DataFrame:
     """``(app_id, body)``: one response body per app.
 
-    No body for keys ≡ 0 (mod 43); a non-JSON body for keys ≡ 0 (mod 47).
+    An empty body for keys ≡ 0 (mod 43) and a non-JSON body for keys ≡ 0
+    (mod 47): both are failures to retry.
     """
     envelope = F.struct((_k() % 19 != 0).alias("success"), primary_data(base).alias("data"))
-    body = (F.when(_mod(47, 0), F.lit("Service Unavailable"))
+    body = (F.when(_mod(43, 0), F.lit(""))
+            .when(_mod(47, 0), F.lit("Service Unavailable"))
             .otherwise(F.to_json(F.create_map(F.col("app_id"), envelope))))
-    return base.where(~_mod(43, 0)).select("app_id", body.alias("body"))
+    return base.select("app_id", body.alias("body"))
 
 
 def stats_bodies(base: DataFrame) -> DataFrame:

@@ -73,3 +73,29 @@ def test_top_k_distinct_hot_key(spark):
     df = spark.createDataFrame(rows, "name string, v bigint")
     got = [(r["name"], r["v"]) for r in top_k_distinct(df, "name", "v", 10, sample_rows=100).collect()]
     assert got == brute_top(rows, 10)
+
+
+def test_quartiles_with_outlier_and_balanced_buckets(spark):
+    from pyspark.ml.feature import Bucketizer
+
+    from shelfspark.operators.describe import _histogram, _splits
+    values = [float(i) for i in range(3000)] + [1e12]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = nearest_rank_quantiles(df, "x", buckets=30).first()
+    assert [got["q0"], got["q1"], got["q2"]] == brute_quartiles(values)
+    hist = _histogram(df, "x").where("v IS NOT NULL")
+    splits = _splits(hist, 3001, 30)
+    sizes = Bucketizer(splits=splits, inputCol="v", outputCol="b").transform(hist) \
+        .groupBy("b").count().collect()
+    assert max(r["count"] for r in sizes) < 3001 / 30 * 2  # no bucket swallows the rest
+
+
+def test_quartiles_with_nan(spark):
+    values = [1.0, float("nan"), 3.0, 2.0, float("nan"), None, 5.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    xs = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
+    n = len(xs)
+    expected = [xs[math.floor((n - 1) * q + 0.5)] for q in (0.25, 0.5, 0.75)]
+    got = nearest_rank_quantiles(df, "x", buckets=2).first()
+    for g, e in zip([got["q0"], got["q1"], got["q2"]], expected):
+        assert (math.isnan(g) and math.isnan(e)) or g == e

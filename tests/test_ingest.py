@@ -257,3 +257,13 @@ def test_not_released_counter_counts_only_new(spark, scratch):
     assert s2["not_released"] == 1  # app 2 is new, app 1 was known
     status = {tuple(r) for r in jobs.current_status(spark, scratch).collect()}
     assert status == {("1", "notreleased"), ("2", "notreleased")}
+
+
+def test_json_lines_records_flatten(spark, scratch):
+    from shelfspark.operators.flatten import flatten_records
+    lines = ['{"app_id": "7", "name": "A", "genres": ["X", "Y"], "price": 1.5}',
+             '{"app_id": "8", "name": "B"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{scratch}/jl")
+    recs = sources.json_lines_records(spark, f"{scratch}/jl")
+    got = {r["app_id"]: (r["name"], r["genres"], r["price"]) for r in flatten_records(recs).collect()}
+    assert got == {"7": ("A", "X, Y", 1.5), "8": ("B", "", 0.0)}

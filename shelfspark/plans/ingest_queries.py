@@ -21,21 +21,24 @@ from ..sinks import files as sinks
 from ..sources import files as sources
 from ..sources import payloads, testdata
 from . import jobs
-from .queries import register, round_doubles, with_base
+from .queries import base_cte, register, round_doubles, with_base
 
 K = "CAST(app_id AS BIGINT)"
 SANITIZE_SQL = r"trim(regexp_replace(regexp_replace({x}, '<[^<]+?>', '', 'g'), '\s+', ' ', 'g'))"
 
 
+def _src_ctes() -> str:
+    return f"{base_cte()},\nsrc AS (SELECT *, {K} AS k FROM base)"
+
+
 def _with_src(select_sql: str) -> str:
     """Oracle text: CTEs ``base`` and ``src`` (base + integer key ``k``)."""
-    head = with_base("SELECT 1")[:-len("SELECT 1")].rstrip()
-    return f"{head},\nsrc AS (SELECT *, {K} AS k FROM base)\n{select_sql}"
+    return f"{_src_ctes()}\n{select_sql}"
 
 
 def _with_cls(select_sql: str) -> str:
     """Oracle text: CTEs ``base``, ``src`` and ``cls`` (expected outcome per app)."""
-    return _with_src("")[:-1].rstrip() + "," + _CLS + "\n" + select_sql
+    return f"{_src_ctes()},{_CLS}\n{select_sql}"
 
 
 def _scratch(spark: SparkSession, name: str, sf_dir: str) -> str:

@@ -42,7 +42,8 @@ def ingest_stream(spark: SparkSession, landing: str, root: str, fmt: str = "parq
         apps = batch.select("app_id")
         jobs.ingest_run(batch.sparkSession, root, apps, batch, stats, released, run=run)
         if merge_each_batch:
-            jobs.merge(batch.sparkSession, root, enriched=stats is not None)
+            # fold only this run into the last merged snapshot
+            jobs.merge_incremental(batch.sparkSession, root, enriched=stats is not None)
 
     writer = (bodies.writeStream.foreachBatch(run_batch)
               .option("checkpointLocation", checkpoint or shared_path(spark, "streams", "ingest")))

@@ -182,12 +182,14 @@ def classify(work: DataFrame, primary: DataFrame, stats: DataFrame | None = None
     landed, or a body that is not JSON — retried next run). ``stats`` (raw
     bodies) enriches added records; ``None`` skips enrichment.
     """
-    # Only the work list's bodies are parsed: the landing table keeps every body
-    # ever landed, the work list of one run is a slice of it. The semi-join runs
-    # before the de-duplicating aggregation (broadcast when the work list is small).
+    # De-duplicate first: the aggregation's partial step collapses the copies
+    # of an app inside every task, so an app landed over and over (even a third
+    # of all bodies) crosses the shuffle once per task. Then only the work
+    # list's bodies go on to be parsed; the semi-join reuses the aggregation's
+    # partitioning on app_id.
     work = work.select(app_id)
-    bodies = (primary.select(app_id, "body").join(work, app_id, "left_semi")
-              .groupBy(app_id).agg(F.max("body").alias("body")))
+    bodies = (primary.select(app_id, "body").groupBy(app_id).agg(F.max("body").alias("body"))
+              .join(work, app_id, "left_semi"))
     p = parse_primary(bodies, app_id=app_id)
     j = (work.join(p, app_id, "left")
          .withColumn("ok", eligible(F.col("success"), F.col("data")))
@@ -203,7 +205,7 @@ def classify(work: DataFrame, primary: DataFrame, stats: DataFrame | None = None
         return out
     # stats are cut to the work list too (not to the added apps: that would
     # recompute the classification); non-added apps ignore their stats below
-    parsed_stats = parse_stats(stats.join(work, app_id, "left_semi"), app_id=app_id)
+    parsed_stats = parse_stats(stats, app_id=app_id).join(work, app_id, "left_semi")
     joined = out.join(parsed_stats, app_id, "left")
     enriched = F.struct(F.col("record.*"), *stats_columns(F.col("stats")))
     return joined.select(app_id, "outcome",

@@ -294,22 +294,25 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- chunk files, keyed objects, last chunk wins (SNK2, SRC4, SNK3) ---------------------------
 
 CHUNK_ROWS = 500
-REDELIVERY_CHUNK = 1_000_000
 
 
 @register("chunk_merge", _with_src(
     "SELECT " + _base_select({"peak_ccu": "CASE WHEN k % 10 = 3 THEN -1 ELSE peak_ccu END"}) + " FROM src"))
 def chunk_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records land as keyed-object chunk files; a re-delivery in chunk 1000000
-    must beat the first delivery (chunk 1..n) by number, not by text."""
+    """Records land as keyed-object chunk files of at most ``CHUNK_ROWS``.
+
+    Block i of the keys lands in chunk 2i+1; its re-delivered apps land again
+    in chunk 2i+2 and must win — by number, not text (chunk 10 beats chunk 9).
+    """
     base = testdata.catalog(spark, sf_dir)
     k = F.col("app_id").cast("bigint")
-    first = base.select("app_id", (F.floor(k / CHUNK_ROWS) + 1).alias("chunk"), _record_struct().alias("r"))
+    block = F.floor(k / CHUNK_ROWS)
+    first = base.select("app_id", (block * 2 + 1).alias("chunk"), _record_struct().alias("r"))
     again = base.where(k % 10 == 3).select(
-        "app_id", F.lit(REDELIVERY_CHUNK).cast("bigint").alias("chunk"),
+        "app_id", (block * 2 + 2).alias("chunk"),
         _record_struct().withField("peak_ccu", F.lit(-1).cast("bigint")).alias("r"))
     landed = first.unionByName(again)
-    # one keyed object per chunk: a chunk holds at most CHUNK_ROWS records per batch
+    # one keyed object per chunk; a chunk holds at most CHUNK_ROWS records
     objects = landed.groupBy("chunk").agg(
         F.to_json(F.map_from_entries(F.collect_list(F.struct("app_id", "r"))),
                   {"ignoreNullFields": "false"}).alias("value"))

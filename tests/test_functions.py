@@ -96,3 +96,17 @@ def test_whole_number(spark):
     assert one(spark, "85.7", X.whole_number) == 85
     assert one(spark, None, X.whole_number) == 0
     assert one(spark, "x", X.whole_number) == 0
+
+
+def test_nbsp_and_tab_trimmed_in_genre_counts(spark):
+    from shelfspark.plans.reports import genre_counts
+    base = spark.createDataFrame([(" Action\t,\tRPG ",), ("Action",)], "genres string")
+    got = {r["genre"]: r["count"] for r in genre_counts(base).collect()}
+    assert got == {"Action": 2, "RPG": 1}
+
+
+def test_age_distribution_null_age_counts_as_zero(spark):
+    from shelfspark.plans.reports import age_distribution
+    base = spark.createDataFrame([(None,), (0,), (-2,), (17,)], "required_age bigint")
+    got = {r["age_category"]: r["number_of_games"] for r in age_distribution(base).collect()}
+    assert got == {"1. Everyone": 2, "Everyone": 1, "4. Mature": 1}

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import owners_upper_bound, release_year, split_strip
+from ..functions.text import owners_upper_bound, release_year, split_literal, strip_ws
 from ..operators.describe import describe
 from ..operators.topk import top_k_distinct
 
@@ -26,8 +26,13 @@ MIN_GROUP = 10
 
 
 def _tokens(df: DataFrame, col: str, sep: str, alias: str, *keep: str) -> DataFrame:
-    """split -> explode (NULL list keeps one NULL row) -> strip."""
-    return df.select(F.explode_outer(split_strip(col, sep)).alias(alias), *keep)
+    """split -> explode (NULL list keeps one NULL row) -> strip.
+
+    Strip after the explode, not inside it: exploding the plain ``split``
+    keeps the generator in whole-stage codegen (a lambda would not).
+    """
+    return (df.select(F.explode_outer(split_literal(col, sep)).alias("_token"), *keep)
+            .select(strip_ws("_token").alias(alias), *keep))
 
 
 def _desc(c: str) -> Column:

@@ -89,3 +89,51 @@ def test_tune_for_scale_keeps_launch_settings(spark):
     finally:
         for key in applied:
             spark.conf.unset(key)
+
+
+class _CapturingWriter:
+    """Stands in for DataFrameWriter: records options instead of connecting."""
+
+    def __init__(self, log):
+        self.log = log
+
+    def format(self, f):
+        self.log["format"] = f
+        return self
+
+    def options(self, **kw):
+        self.log.update(kw)
+        return self
+
+    def option(self, k, v):
+        self.log[k] = v
+        return self
+
+    def mode(self, m):
+        self.log["mode"] = m
+        return self
+
+    def save(self):
+        self.log["saved"] = True
+
+
+def test_write_jdbc_options(spark, monkeypatch):
+    from shelfspark.sinks import jdbc
+    log = {}
+    df = spark.createDataFrame([("1", ["a"])], "id string, tags array<string>")
+    monkeypatch.setattr(type(df), "write", property(lambda self: _CapturingWriter(log)))
+    jdbc.write_jdbc(df, "genre_counts", jdbc.connection_options(user="u", password="p"),
+                    batchsize=500, num_partitions=3)
+    assert log["format"] == "jdbc" and log["dbtable"] == "genre_counts"
+    assert (log["batchsize"], log["numPartitions"], log["truncate"], log["mode"]) == \
+        ("500", "3", "true", "overwrite")
+    assert log["user"] == "u" and log["saved"]
+
+
+def test_load_writes_base_then_reports(spark, scratch, monkeypatch):
+    from shelfspark.sinks import jdbc
+    jobs.publish(testdata.catalog(spark, SF_SMALL), scratch)
+    seen = []
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda df, name, options, mode="overwrite": seen.append(name))
+    jobs.load(spark, scratch, {"url": "jdbc:postgresql://db/catalog"})
+    assert seen == ["catalog", *REPORTS]

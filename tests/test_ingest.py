@@ -165,11 +165,11 @@ def test_chunks_f5_numeric_last_wins(spark, scratch):
 def test_keyed_object_last_duplicate_key_wins(spark, scratch):
     import os
     os.makedirs(scratch, exist_ok=True)
-    with open(f"{scratch}/games.json", "w") as fh:
+    with open(f"{scratch}/catalog.json", "w") as fh:
         fh.write('{"1": {"name": "a"}, "1": {"name": "b"}}')
-    rows = sources.keyed_objects(spark, f"{scratch}/games.json").collect()
+    rows = sources.keyed_objects(spark, f"{scratch}/catalog.json").collect()
     assert [(r["app_id"], json.loads(r["record"])["name"]) for r in rows] == [("1", "b")]
-    merged = sources.merge_chunks(spark, f"{scratch}/games.json").collect()
+    merged = sources.merge_chunks(spark, f"{scratch}/catalog.json").collect()
     assert [(r["app_id"], json.loads(r["record"])["name"]) for r in merged] == [("1", "b")]
 
 

@@ -478,3 +478,67 @@ def ingested_genre_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .reports import genre_counts
     root = _two_runs(spark, sf_dir, "ingested_genre_counts")
     return genre_counts(jobs.catalog_from_merged(spark, root))
+
+
+# --- one key per scalar parser (SCL11, SCL12, SCL20, SCL19) and the language lists (SCL13, SCL14)
+
+_T_CTE = f"WITH t AS (SELECT p_partkey, {_TEXTS} FROM part)"
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = testdata.read_table(spark, sf_dir, "part")
+    return part.select("p_partkey", *[F.expr(e.format(t="STRING")) for e in _TEXT_EXPRS])
+
+
+@register("price_to_float", _T_CTE + r"""
+SELECT p_partkey, price_text,
+  round(coalesce(TRY_CAST(regexp_replace(price_text, '[^0-9.]', '', 'g') AS DOUBLE), 0.0), 6) AS price
+FROM t""")
+def price_to_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(_texts(spark, sf_dir).select(
+        "p_partkey", "price_text", X.price_to_float("price_text").alias("price")))
+
+
+@register("safe_int", _T_CTE + r""",
+u AS (SELECT *, trim(replace(age_text, '+', '')) AS age_clean FROM t)
+SELECT p_partkey, age_text,
+  CASE WHEN regexp_full_match(age_clean, '[+-]?[0-9]+') THEN CAST(age_clean AS BIGINT) ELSE 0 END AS age
+FROM u""")
+def safe_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _texts(spark, sf_dir).select("p_partkey", "age_text", X.safe_int("age_text").alias("age"))
+
+
+@register("owners_text", _T_CTE + r"""
+SELECT p_partkey, owners_raw,
+  replace(replace(coalesce(owners_raw, '0 - 0'), ',', ''), '..', '-') AS owners
+FROM t""")
+def owners_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _texts(spark, sf_dir).select("p_partkey", "owners_raw", X.owners_text("owners_raw").alias("owners"))
+
+
+@register("cents_to_price", _T_CTE + r"""
+SELECT p_partkey, cents, round(round(cents * 0.01, 2), 6) AS price FROM t""")
+def cents_to_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(_texts(spark, sf_dir).select(
+        "p_partkey", "cents", X.cents_to_price("cents").alias("price")))
+
+
+@register("language_lists", _with_src(r"""
+SELECT app_id, html,
+  replace(supported_languages, ', ', '|') AS supported,
+  CASE WHEN legend AND strpos(supported_languages, ', ') > 0 THEN replace(supported_languages, ', ', '|')
+       ELSE split_part(supported_languages, ', ', 1) END AS full_audio
+FROM (SELECT app_id, supported_languages, k % 2 = 0 AS legend,
+             regexp_replace(supported_languages, '^([^,]*)', '\1<strong>*</strong>')
+             || CASE WHEN k % 2 = 0 THEN '<br><strong>*</strong>languages with full audio support' ELSE '' END AS html
+      FROM src)"""))
+def language_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTML language text built from the catalog's languages -> the two lists."""
+    base = testdata.catalog(spark, sf_dir)
+    k = F.col("app_id").cast("bigint")
+    html = F.concat(F.regexp_replace("supported_languages", "^([^,]*)", "$1" + payloads.FULL_AUDIO_MARK),
+                    F.when(k % 2 == 0, F.lit(payloads.LEGEND)).otherwise(F.lit("")))
+    return base.select("app_id", html.alias("html")).select(
+        "app_id", "html",
+        _join(X.supported_languages("html")).alias("supported"),
+        _join(X.full_audio_languages("html")).alias("full_audio"))

@@ -10,6 +10,8 @@ a final newline).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,7 +41,6 @@ def strip_ws(c: ColumnOrName) -> Column:
 
 def split_literal(c: ColumnOrName, sep: str) -> Column:
     """Split on a literal separator; '' gives [''] (SCL1, SCL2)."""
-    import re
     return F.split(_col(c), re.escape(sep))
 
 

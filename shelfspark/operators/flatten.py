@@ -51,8 +51,3 @@ def flatten_struct(df: DataFrame, record: str = "record", app_id: str = "app_id"
             value = field.cast(dtype)
         cols.append(value.alias(name))
     return df.select(*cols)
-
-
-def records_from_struct(df: DataFrame, record: str = "record", app_id: str = "app_id") -> DataFrame:
-    """Normalised record structs -> ``(app_id, record JSON text)`` for flattening."""
-    return df.select(app_id, F.to_json(F.col(record)).alias(record))

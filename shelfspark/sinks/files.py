@@ -38,16 +38,6 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> list[str]:
-    """SNK5 for many tables: ``root/<name>`` each."""
-    out = []
-    for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}"
-        write_parquet(df, path, mode)
-        out.append(path)
-    return out
-
-
 def write_id_sets(ids: DataFrame, path: str, chunk_rows: int = DEFAULT_CHUNK_SIZE,
                   key: str = "app_id") -> None:
     """SNK4 in the catalog's JSON form: files of JSON arrays of id strings.

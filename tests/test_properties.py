@@ -79,3 +79,34 @@ def test_update_status_matches_set_semantics(spark, outs):
         elif o == "discarded":
             sets[S.DISCARDED].add(a)
     assert got == {(a, s) for s, ids in sets.items() for a in ids}
+
+
+_FIELDS = {
+    "name": st.text(alphabet="ab ", max_size=4),
+    "required_age": st.integers(-3, 30),
+    "price": st.sampled_from([0.0, 1.5, 19.99]),
+    "windows": st.booleans(),
+    "genres": st.lists(st.sampled_from(["Action", "RPG", ""]), max_size=3),
+    "estimated_owners": st.sampled_from(["", "0 - 0", "100 - 200"]),
+}
+record = st.fixed_dictionaries({}, optional={k: st.one_of(st.none(), v) for k, v in _FIELDS.items()})
+
+
+@SETTINGS
+@given(st.lists(record, min_size=1, max_size=10))
+def test_flatten_matches_dict_get_defaults(spark, records):
+    import json
+
+    from shelfspark.operators.flatten import flatten_records
+    rows = [(str(i), json.dumps(r)) for i, r in enumerate(records)]
+    got = {r["app_id"]: r for r in flatten_records(
+        spark.createDataFrame(rows, "app_id string, record string")).collect()}
+    defaults = {n: d for n, _, d in S.BASE_COLUMNS}
+    for i, rec in enumerate(records):
+        out = got[str(i)]
+        for name in _FIELDS:
+            if name == "genres":
+                expected = ", ".join(rec.get("genres") or [])   # NULL list = empty list
+            else:
+                expected = rec.get(name, defaults[name])        # absent -> default, null stays null
+            assert out[name] == expected, (name, rec)

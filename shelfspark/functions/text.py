@@ -28,6 +28,7 @@ FULL_AUDIO_LEGEND = "languages with full audio support"
 LANGUAGE_SEPARATOR = ", "
 LIST_SEPARATOR = ", "
 DEFAULT_OWNERS = "0 - 0"
+DIGIT_GROUPS = r"^-?[0-9]+(_[0-9]+)+$"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -80,9 +81,15 @@ def price_to_float(c: ColumnOrName) -> Column:
 
 
 def safe_int(c: ColumnOrName, default: int = 0) -> Column:
-    """Drop '+', parse as BIGINT; anything else gives ``default`` (SCL12)."""
+    """Drop '+', parse as BIGINT; anything else gives ``default`` (SCL12).
+
+    Like Python's ``int()``: surrounding whitespace is allowed, and so are
+    single underscores between digits (``1_000``).
+    """
     cleaned = F.trim(F.replace(_col(c).cast("string"), F.lit("+"), F.lit("")))
-    return F.coalesce(cleaned.try_cast("bigint"), F.lit(default).cast("bigint"))
+    grouped = F.when(cleaned.rlike(DIGIT_GROUPS), F.replace(cleaned, F.lit("_"), F.lit(""))) \
+        .otherwise(cleaned)
+    return F.coalesce(grouped.try_cast("bigint"), F.lit(default).cast("bigint"))
 
 
 def whole_number(c: ColumnOrName, default: int = 0) -> Column:

@@ -159,3 +159,32 @@ def test_safe_int_matches_python(spark, texts):
 def test_sanitize_matches_python(spark, texts):
     from shelfspark.functions.text import sanitize_text
     assert _one_col(spark, texts, sanitize_text) == [_py_sanitize(t) for t in texts]
+
+
+def _py_languages(text):
+    import re
+    supported, full = [], []
+    if text is None:
+        return supported, full
+    t = re.sub("<[^<]+?>", "", text).replace("languages with full audio support", "")
+    for lang in t.split(", "):
+        clean = lang.replace("*", "")
+        supported.append(clean)
+        if "*" in lang:
+            full.append(clean)
+    return supported, full
+
+
+lang_piece = st.sampled_from(["English", "French", "*", ", ", "<br>", "<strong>*</strong>",
+                              "languages with full audio support", " ", "De"])
+
+
+@SETTINGS
+@given(st.lists(st.lists(lang_piece, max_size=6).map("".join), min_size=1, max_size=20))
+def test_language_lists_match_python(spark, texts):
+    from shelfspark.functions.text import full_audio_languages, supported_languages
+    got_s = _one_col(spark, texts, supported_languages)
+    got_f = _one_col(spark, texts, full_audio_languages)
+    expected = [_py_languages(t) for t in texts]
+    assert got_s == [e[0] for e in expected]
+    assert got_f == [e[1] for e in expected]

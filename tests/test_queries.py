@@ -101,3 +101,19 @@ def test_report_aggregations_are_partial(spark, name):
     df = REPORTS[name](catalog(spark, SF_SMALL))
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert "partial_count" in plan
+
+
+def test_classify_pre_aggregates_bodies_before_the_shuffle(spark):
+    """An app landed over and over crosses the shuffle once per task."""
+    from shelfspark.operators.ingest import classify
+    bodies = spark.createDataFrame([("1", f'{{"1": {{"success": true, "data": {{"n": {i}}}}}}}')
+                                    for i in range(300)] + [("2", "x")], "app_id string, body string")
+    work = spark.createDataFrame([("1",), ("2",)], "app_id string")
+    df = classify(work, bodies)
+    assert {r["app_id"]: r["outcome"] for r in df.collect()} == {"1": "discarded", "2": "failed"}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    lines = [ln for ln in plan.splitlines() if "partial_max(body" in ln or "Exchange hashpartitioning" in ln]
+    # deepest first: the partial aggregation sits below (prints after) every exchange it feeds
+    assert any("partial_max(body" in ln for ln in lines)
+    body_branch = plan[plan.index("partial_max(body"):]
+    assert "FileScan" in body_branch or "Scan ExistingRDD" in body_branch or "LocalTableScan" in body_branch

@@ -267,3 +267,9 @@ def test_json_lines_records_flatten(spark, scratch):
     recs = sources.json_lines_records(spark, f"{scratch}/jl")
     got = {r["app_id"]: (r["name"], r["genres"], r["price"]) for r in flatten_records(recs).collect()}
     assert got == {"7": ("A", "X, Y", 1.5), "8": ("B", "", 0.0)}
+
+
+def test_id_set_bad_json_is_empty(spark, scratch):
+    spark.createDataFrame([("{not json",)], "value string").write.text(f"{scratch}/bad")
+    assert sources.id_set(spark, f"{scratch}/bad").count() == 0
+    assert sources.app_list(spark, f"{scratch}/bad").count() == 0

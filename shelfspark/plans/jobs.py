@@ -96,11 +96,14 @@ def current_status(spark: SparkSession, root: str) -> DataFrame:
 def compact(spark: SparkSession, root: str) -> int:
     """Write the status sets as of the last run as ``status_snapshot/upto=<r>``."""
     r = next_run(spark, root) - 1
-    if r <= 0:
-        return r
+    if r > 0:
+        _snapshot_status(spark, root, r)
+    return r
+
+
+def _snapshot_status(spark: SparkSession, root: str, r: int) -> None:
     state = status_as_of(spark, root, r + 1)
     sinks.write_parquet(state, _p(root, "status_snapshot", f"upto={r}"))
-    return r
 
 
 def next_run(spark: SparkSession, root: str) -> int:
@@ -111,11 +114,14 @@ def next_run(spark: SparkSession, root: str) -> int:
 
 def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFrame,
                stats: DataFrame | None = None, released: bool = True,
-               chunk_size: int = sinks.DEFAULT_CHUNK_SIZE, run: int | None = None) -> DataFrame:
+               chunk_size: int = sinks.DEFAULT_CHUNK_SIZE, run: int | None = None,
+               compact_every: int = 10) -> DataFrame:
     """DF2: one incremental run over landed payloads; returns the run summary.
 
     apps: ``(app_id)``; primary/stats: ``(app_id, body)``. ``stats=None``
     turns enrichment off; ``released`` skips apps known as not released.
+    Every ``compact_every`` runs (0 = never) the status sets are snapshotted,
+    so no run reads more than that many runs of the outcome log.
     """
     run = next_run(spark, root) if run is None else run
     # only earlier runs count: re-running run n sees what run n saw the first time
@@ -130,6 +136,8 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
     written = spark.read.parquet(out_path).where(F.col("run") == run).select("app_id", "outcome")
     summary = ingest.run_summary(apps, status, written)
     sinks.write_batch(summary, _p(root, "summary"), run, fmt="parquet", column="run")
+    if compact_every and run % compact_every == 0:
+        _snapshot_status(spark, root, run)
     return spark.read.parquet(_p(root, "summary")).where(F.col("run") == run)
 
 

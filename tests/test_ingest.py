@@ -273,3 +273,15 @@ def test_id_set_bad_json_is_empty(spark, scratch):
     spark.createDataFrame([("{not json",)], "value string").write.text(f"{scratch}/bad")
     assert sources.id_set(spark, f"{scratch}/bad").count() == 0
     assert sources.app_list(spark, f"{scratch}/bad").count() == 0
+
+
+def test_auto_compaction_keeps_results(spark, scratch):
+    game = {"type": "game", "developers": ["D"], "release_date": {"date": "Jan 1, 2020"}}
+    apps = spark.createDataFrame([(str(i),) for i in range(1, 5)], "app_id string")
+    for i in range(1, 5):
+        primary = bodies(spark, [(str(i), body(str(i), game))])
+        jobs.ingest_run(spark, scratch, apps, primary, None, compact_every=2)
+    import os
+    assert sorted(os.listdir(f"{scratch}/status_snapshot")) == ["upto=2", "upto=4"]
+    status = {tuple(r) for r in jobs.current_status(spark, scratch).collect()}
+    assert status == {(str(i), "processed") for i in range(1, 5)}

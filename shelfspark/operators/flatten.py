@@ -37,8 +37,12 @@ def flatten_records(df: DataFrame, record: str = "record", app_id: str = "app_id
     return df.select(app_id, m.alias("_m")).select(*cols)
 
 
-def flatten_struct(df: DataFrame, record: str = "record", app_id: str = "app_id") -> DataFrame:
-    """``(app_id, record struct)`` -> base table; absent struct fields get defaults."""
+def flatten_struct(df: DataFrame, record: str = "record", app_id: str = "app_id",
+                   keep=()) -> DataFrame:
+    """``(app_id, record struct)`` -> base table; absent struct fields get defaults.
+
+    Columns named in ``keep`` are carried along after the base columns.
+    """
     have = set(df.schema[record].dataType.fieldNames())
     cols = [F.col(app_id).cast("string").alias("app_id")]
     for name, dtype, default in S.BASE_COLUMNS[1:]:
@@ -50,4 +54,4 @@ def flatten_struct(df: DataFrame, record: str = "record", app_id: str = "app_id"
         else:
             value = field.cast(dtype)
         cols.append(value.alias(name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)

@@ -542,3 +542,26 @@ def language_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         "app_id", "html",
         _join(X.supported_languages("html")).alias("supported"),
         _join(X.full_audio_languages("html")).alias("full_audio"))
+
+
+# --- the same classification with the statistics feed switched off (DF1 without JN1) ----------------
+
+@register("classify_apps_without_stats", _with_cls(r"""
+SELECT app_id, outcome,
+  CASE WHEN outcome = 'added' THEN name END AS name,
+  CASE WHEN outcome = 'added' THEN round(CASE WHEN k % 9 = 4 OR k % 11 = 5 OR k % 13 = 6 THEN 0.0 ELSE price END, 6) END AS price,
+  CASE WHEN outcome = 'added' THEN 0 END AS user_score,
+  CASE WHEN outcome = 'added' THEN '' END AS estimated_owners,
+  CASE WHEN outcome = 'added' THEN 0 END AS peak_ccu
+FROM cls"""))
+def classify_apps_without_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No enrichment: the records carry no statistics fields, so the flattened
+    base table shows their missing-key defaults."""
+    apps, primary, _ = payloads.landed(spark, sf_dir)
+    out = ingest.classify(apps, primary, None)
+    flat = flatten.flatten_struct(out, keep=("outcome",))
+    added = F.col("outcome") == S.ADDED
+    return round_doubles(flat.select(
+        "app_id", "outcome",
+        *[F.when(added, F.col(c)).alias(c) for c in
+          ("name", "price", "user_score", "estimated_owners", "peak_ccu")]))

@@ -285,3 +285,13 @@ def test_auto_compaction_keeps_results(spark, scratch):
     assert sorted(os.listdir(f"{scratch}/status_snapshot")) == ["upto=2", "upto=4"]
     status = {tuple(r) for r in jobs.current_status(spark, scratch).collect()}
     assert status == {(str(i), "processed") for i in range(1, 5)}
+
+
+def test_duplicate_stats_bodies_do_not_multiply_records(spark):
+    stats = bodies(spark, [("1", '{"developer": "a", "userscore": 5}'),
+                           ("1", '{"developer": "b", "userscore": 7}'),
+                           ("1", "Too many connections")])
+    parsed = ingest.parse_stats(stats).collect()
+    assert len(parsed) == 1 and parsed[0]["stats"]["developer"] == "b"  # the greatest, every time
+    recs = spark.createDataFrame([("1", ("n",))], "app_id string, record struct<name:string>")
+    assert ingest.enrich(recs, ingest.parse_stats(stats)).count() == 1

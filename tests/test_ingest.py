@@ -295,3 +295,15 @@ def test_duplicate_stats_bodies_do_not_multiply_records(spark):
     assert len(parsed) == 1 and parsed[0]["stats"]["developer"] == "b"  # the greatest, every time
     recs = spark.createDataFrame([("1", ("n",))], "app_id string, record struct<name:string>")
     assert ingest.enrich(recs, ingest.parse_stats(stats)).count() == 1
+
+
+def test_run_outcomes_are_chunked(spark, scratch):
+    """SNK2: at most ``chunk_size`` rows per file of a run."""
+    import glob
+    game = {"type": "game", "developers": ["D"], "release_date": {"date": "Jan 1, 2020"}}
+    primary = bodies(spark, [(str(i), body(str(i), game)) for i in range(1, 6)]).coalesce(1)
+    apps = spark.createDataFrame([(str(i),) for i in range(1, 6)], "app_id string")
+    jobs.ingest_run(spark, scratch, apps, primary, None, chunk_size=2)
+    files = glob.glob(f"{scratch.replace('file:', '')}/outcomes/run=1/*.parquet")
+    counts = [spark.read.parquet(f).count() for f in files]
+    assert sum(counts) == 5 and max(counts) <= 2

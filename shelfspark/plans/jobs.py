@@ -34,7 +34,7 @@ from .. import schema as S
 from ..operators import ingest
 from ..operators.flatten import flatten_struct
 from ..sinks import files as sinks
-from ..sources.files import read_or_empty
+from ..sources.files import path_exists, read_or_empty
 from . import reports
 
 OUTCOME_KEYS = T.StructType([T.StructField("app_id", T.StringType()),
@@ -67,6 +67,8 @@ def record_batches(spark: SparkSession, root: str, enriched: bool = True) -> Dat
 
 def _snapshots(spark: SparkSession, path: str) -> list[int]:
     """Snapshot numbers under ``path`` (``upto=<n>`` folders); few, so collected."""
+    if path_exists(spark, path) is False:
+        return []
     t = read_or_empty(spark, path, T.StructType([T.StructField("upto", T.LongType())]))
     return sorted(int(r[0]) for r in t.select("upto").distinct().collect())
 

@@ -111,17 +111,20 @@ def primary_bodies(base: DataFrame) -> DataFrame:
 
 
 def stats_bodies(base: DataFrame) -> DataFrame:
-    """``(app_id, body)`` of the statistics feed, for apps with positive reviews.
+    """``(app_id, body)`` of the statistics feed, one per app.
 
-    Invalid on purpose: blank developer (≡2 mod 7), rate-limit text (≡3 mod 17),
-    blank body (≡4 mod 23). ``tags`` is an object for even keys, ``[]`` else.
+    Invalid on purpose (so the app stays unmatched): blank developer for apps
+    without positive reviews and for keys ≡2 (mod 7), rate-limit text (≡3 mod
+    17), blank body (≡4 mod 23). ``tags`` is an object for even keys, ``[]``
+    else.
     """
     lo_hi = F.split(F.col("estimated_owners"), " - ")
     owners = F.when(F.col("estimated_owners") == "", F.lit(None)).otherwise(F.concat(
         F.format_number(lo_hi[0].cast("bigint"), 0), F.lit(" .. "),
         F.format_number(lo_hi[1].cast("bigint"), 0)))
     fields = F.struct(
-        F.when(_mod(7, 2), F.lit("")).otherwise(F.col("publishers")).alias("developer"),
+        F.when(_mod(7, 2) | (F.col("positive") <= 0), F.lit("")).otherwise(F.col("publishers"))
+         .alias("developer"),
         F.col("metacritic_score").alias("userscore"),
         F.col("positive").alias("positive"),
         F.col("negative").alias("negative"),
@@ -138,7 +141,7 @@ def stats_bodies(base: DataFrame) -> DataFrame:
     body = (F.when(_mod(17, 3), F.lit("Too many connections"))
             .when(_mod(23, 4), F.lit("   "))
             .otherwise(body))
-    return base.where(F.col("positive") > 0).select("app_id", body.alias("body"))
+    return base.select("app_id", body.alias("body"))
 
 
 _LANDED: dict[tuple[str, str], str] = {}

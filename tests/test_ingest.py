@@ -307,3 +307,16 @@ def test_run_outcomes_are_chunked(spark, scratch):
     files = glob.glob(f"{scratch.replace('file:', '')}/outcomes/run=1/*.parquet")
     counts = [spark.read.parquet(f).count() for f in files]
     assert sum(counts) == 5 and max(counts) <= 2
+
+
+def test_merge_chunks_is_one_shuffle(spark, scratch):
+    import os
+    os.makedirs(scratch, exist_ok=True)
+    for n, obj in [(1, {"1": {"name": "a"}, "2": {"name": "b"}}), (2, {"1": {"name": "c"}})]:
+        with open(f"{scratch}/chunk_{n}.json", "w") as fh:
+            json.dump(obj, fh)
+    df = sources.merge_chunks(spark, scratch)
+    assert {r["app_id"]: json.loads(r["record"])["name"] for r in df.collect()} == {"1": "c", "2": "b"}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "partial_max_by" in plan

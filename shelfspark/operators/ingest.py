@@ -224,7 +224,11 @@ def work_list(apps: DataFrame, status: DataFrame, released: bool = True,
 
 
 def last_wins(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
-    """JN3: per key keep the whole row with the highest ``order`` (numeric)."""
+    """JN3: per key keep the whole row with the highest ``order`` (numeric).
+
+    ``order`` must be unique per key (a batch or run number, or a struct such
+    as ``(chunk_no, position)``); equal orders would leave the pick open.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*others), F.col(order)).alias("_best")

@@ -564,3 +564,25 @@ def classify_apps_without_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "app_id", "outcome",
         *[F.when(added, F.col(c)).alias(c) for c in
           ("name", "price", "user_score", "estimated_owners", "peak_ccu")]))
+
+
+# --- the publish job: base table and 13 reports written, then read back (DF5, SNK5, SRC5) ----------
+
+def _published_counts_sql() -> str:
+    from . import reports as R
+    from .queries import ORACLE
+    parts = [f"SELECT 'catalog' AS table_name, count(*) AS row_count FROM ({with_base('SELECT * FROM base')}) t"]
+    parts += [f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({ORACLE[name]}) t"
+              for name in R.REPORTS]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("publish_tables", _published_counts_sql())
+def publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every table the publish job wrote, read back from Parquet."""
+    from functools import reduce
+    out = _scratch(spark, "publish_tables", sf_dir)
+    paths = jobs.publish(testdata.catalog(spark, sf_dir), out)
+    counts = [spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(name).alias("table_name"), "row_count") for name, path in paths.items()]
+    return reduce(lambda a, b: a.unionByName(b), counts)

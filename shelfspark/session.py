@@ -85,11 +85,13 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        path = warehouse.rstrip("/") + "/_shelfspark_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", path)
+        # unset (local runs): a folder under the warehouse. ``spark.checkpoint.dir``
+        # is a launch setting and cannot be changed at runtime; the context's
+        # checkpoint folder can (it adds a per-application subfolder).
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shelfspark_checkpoints"
         if sc is not None:
             sc.setCheckpointDir(path)
+            path = sc.getCheckpointDir()
     return path.rstrip("/")
 
 

@@ -26,9 +26,7 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     # tests only: a scratch shared folder when the session names none
     if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
-        d = tempfile.mkdtemp(prefix="shelfspark-test-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfspark-test-"))
     yield s
 
 
@@ -37,4 +35,6 @@ def scratch(spark):
     """A fresh folder under the session's shared folder, one per test."""
     import uuid
     from shelfspark.session import shared_path
-    return shared_path(spark, "tests", uuid.uuid4().hex)
+    path = shared_path(spark, "tests", uuid.uuid4().hex)
+    # tests also create files with os calls: use a plain path for local folders
+    return path[len("file:"):] if path.startswith("file:") else path

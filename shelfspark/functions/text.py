@@ -143,6 +143,12 @@ def strip_each(c: ColumnOrName) -> Column:
     return F.transform(F.coalesce(_col(c), F.array().cast("array<string>")), strip_ws)
 
 
+def size_or_null(c: ColumnOrName) -> Column:
+    """Element count; NULL for a NULL array whatever the ANSI setting
+    (``size(NULL)`` is -1 when ANSI mode is off)."""
+    return F.when(_col(c).isNotNull(), F.size(_col(c)))
+
+
 def list_size(c: ColumnOrName) -> Column:
     """Element count, NULL list counts 0 (SCL17)."""
     return F.when(_col(c).isNull(), F.lit(0)).otherwise(F.size(_col(c))).cast("bigint")

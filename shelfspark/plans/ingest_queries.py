@@ -91,7 +91,7 @@ def normalise_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         "r.windows", "r.mac", "r.linux", "r.metacritic_score", "r.achievements",
         "r.recommendations", "r.notes",
         *[_join(F.col(f"r.{c}")).alias(c) for c in S.LIST_COLUMNS],
-        F.size("r.packages").alias("package_count"),
+        X.size_or_null("r.packages").alias("package_count"),
         first["title"].alias("package_title"),
         first["description"].alias("package_description"),
         _join(F.transform(first["subs"], lambda s: s["text"])).alias("sub_texts"),
@@ -138,7 +138,7 @@ def _enriched_columns(rec: str = "record") -> list:
             r("score_rank").alias("score_rank"), r("positive").alias("positive"),
             r("negative").alias("negative"), r("estimated_owners").alias("estimated_owners"),
             r("average_playtime_forever").alias("average_playtime_forever"),
-            r("peak_ccu").alias("peak_ccu"), F.size(r("tags")).alias("tag_count")]
+            r("peak_ccu").alias("peak_ccu"), X.size_or_null(r("tags")).alias("tag_count")]
 
 
 @register("classify_apps", _with_cls("SELECT app_id, outcome," + _enriched_sql(True) + "\nFROM cls"))
@@ -162,7 +162,7 @@ def enrich_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = apps.select("app_id", F.struct(F.lit("x").alias("name")).alias("record"))
     e = ingest.enrich(recs, ingest.parse_stats(stats))
     return e.select("app_id", "record.user_score", "record.positive", "record.estimated_owners",
-                    "record.peak_ccu", F.size("record.tags").alias("tag_count"))
+                    "record.peak_ccu", X.size_or_null("record.tags").alias("tag_count"))
 
 
 @register("run_summary", _with_cls(r"""

@@ -137,3 +137,13 @@ def test_load_writes_base_then_reports(spark, scratch, monkeypatch):
     monkeypatch.setattr(jdbc, "write_jdbc", lambda df, name, options, mode="overwrite": seen.append(name))
     jobs.load(spark, scratch, {"url": "jdbc:postgresql://db/catalog"})
     assert seen == ["catalog", *REPORTS]
+
+
+def test_write_batch_is_idempotent_and_keeps_other_batches(spark, scratch):
+    from shelfspark.sinks.files import write_batch
+    df = spark.createDataFrame([(str(i),) for i in range(7)], "app_id string")
+    write_batch(df, f"{scratch}/b", 1, fmt="parquet")
+    write_batch(df.limit(3), f"{scratch}/b", 2, fmt="parquet")
+    write_batch(df, f"{scratch}/b", 1, fmt="parquet")  # replayed batch 1
+    got = {r["batch_id"]: r["count"] for r in spark.read.parquet(f"{scratch}/b").groupBy("batch_id").count().collect()}
+    assert got == {1: 7, 2: 3}

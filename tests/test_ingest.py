@@ -321,3 +321,20 @@ def test_merge_chunks_is_one_shuffle(spark, scratch):
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("Exchange hashpartitioning") == 1
     assert "partial_max_by" in final
+
+
+def test_transform_publishes_the_ingested_catalog(spark, scratch):
+    from shelfspark.plans.reports import REPORTS
+    game = {"type": "game", "developers": ["D"], "release_date": {"date": "Oct 1, 2021"},
+            "genres": [{"description": "Action"}, {"description": "RPG"}]}
+    primary = bodies(spark, [("1", body("1", game)), ("2", body("2", game))])
+    apps = spark.createDataFrame([("1",), ("2",)], "app_id string")
+    jobs.ingest_run(spark, f"{scratch}/ing", apps, primary, None)
+    jobs.merge(spark, f"{scratch}/ing", enriched=False)
+    paths = jobs.transform(spark, f"{scratch}/ing", f"{scratch}/out")
+    assert set(paths) == {"catalog", *REPORTS}
+    assert spark.read.parquet(paths["catalog"]).count() == 2
+    counts = {r["genre"]: r["count"] for r in spark.read.parquet(paths["genre_counts"]).collect()}
+    assert counts == {"Action": 2, "RPG": 2}
+    years = {r["release_year"]: r["game_count"] for r in spark.read.parquet(paths["games_per_year"]).collect()}
+    assert years == {2021: 2}

@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
-from . import ngram_join  # noqa: F401  (registers)
+from . import (  # noqa: F401  (register)
+    exact_dedup,
+    ngram_join,
+    packing,
+    token_shards,
+)
 from .common import ORACLE, QUERIES  # noqa: F401

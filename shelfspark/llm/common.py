@@ -86,3 +86,29 @@ def semi_join_ids(rows: DataFrame, ids: DataFrame, key: str, most_broadcast: int
     if ids.count() <= most_broadcast:
         ids = F.broadcast(ids)
     return rows.join(ids, key, "left_semi")
+
+
+SPANS = "array<struct<kind:string,start:long,end:long>>"
+
+
+def span_text(spans: Column, kinds: list[str]) -> Column:
+    """``kind:start:end`` of the spans of these kinds, by start, then kind as listed."""
+    rank = F.create_map(*[F.lit(x) for i, k in enumerate(kinds) for x in (k, i)])
+    rows = F.transform(F.filter(spans, lambda s: s["kind"].isin(kinds)), lambda s: F.struct(
+        s["start"].alias("start"), F.element_at(rank, s["kind"]).alias("rank"), s["end"].alias("end"),
+        s["kind"].alias("kind")))
+    return F.concat_ws(",", F.transform(F.array_sort(rows), lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def span_digest(rows: DataFrame, base: list[str], own: list[str], spans: str = "spans") -> DataFrame:
+    """Add ``n_<kind>`` per base kind, ``base_sha256`` and the joined ``spans``."""
+    s = F.col(spans)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(s, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in base]
+    return rows.select(*[c for c in rows.columns if c != spans], *counts,
+                       F.sha2(span_text(s, base).cast("binary"), 256).alias("base_sha256"),
+                       span_text(s, base + own).alias("spans"))

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401  (register)
+    decontaminate,
     exact_dedup,
     ngram_join,
     packing,
+    quality,
+    secrets,
     token_shards,
+    toxicity,
 )
 from .common import ORACLE, QUERIES  # noqa: F401

@@ -5,8 +5,10 @@ from __future__ import annotations
 from . import (  # noqa: F401  (register)
     decontaminate,
     exact_dedup,
+    licenses,
     ngram_join,
     packing,
+    pii,
     quality,
     secrets,
     token_shards,

@@ -65,6 +65,30 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def filter_rows(docs: DataFrame, keep: Callable) -> DataFrame:
+    """Rows for which ``keep(batch)`` (a boolean array per Arrow batch) holds,
+    with all columns, in place: no join and no shuffle."""
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(keep(batch))
+    return docs.mapInArrow(run, docs.schema)
+
+
+def drop_keys(rows: DataFrame, keys: DataFrame, most_broadcast: int = 1_000_000) -> DataFrame:
+    """Rows whose key columns are not in ``keys`` (NULL-safe), broadcast when the
+    number of keys proves them small, else both sides shuffle."""
+    keys = stored(keys.distinct(), "keys")
+    names = keys.columns
+    right = keys.toDF(*[f"_drop_{c}" for c in names])
+    if keys.count() <= most_broadcast:
+        right = F.broadcast(right)
+    same = [F.col(c).eqNullSafe(F.col(f"_drop_{c}")) for c in names]
+    out = rows
+    for c in same[1:]:
+        same[0] = same[0] & c
+    return out.join(right, same[0], "left_anti")
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; NULL ids fall in fold 0 (held out)."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5, F.lit(0))

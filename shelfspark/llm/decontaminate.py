@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .common import register, ship_code, table
+from .common import filter_rows, register, ship_code, table
 
 BITS, BLOCKS, NEAR = 128, 8, 3
 RADIUS = BLOCKS * (NEAR + 1) - 1
@@ -140,31 +140,42 @@ def search_text(h: np.ndarray, hits: np.ndarray, items: Items, threshold: float)
     return [(name, sim, -start, size) for name, ((sim, start), size) in best.items()]
 
 
+def search_batch(texts: pa.Array, items: Items, threshold: float):
+    """``(row, item_id, similarity, start, size)`` for the texts of an array."""
+    for begin, _, raw, offsets in S.batches(texts):
+        w, first = S.words(raw, offsets, S.NOT_ALNUM)
+        h, win = S.shingles(w, first, items.width)
+        hits = np.flatnonzero(items.holds(h))
+        owner = np.searchsorted(win, hits, side="right") - 1
+        for d in np.unique(owner):
+            for got in search_text(h[win[d]:win[d + 1]], hits[owner == d] - win[d], items, threshold):
+                yield begin + int(d), *got
+
+
 def _search(shared, threshold):
     def run(batches):
         items = Items(*shared.value)
-        if not items.by_size:
-            return
-        for batch in batches:
-            ids, rows, found = batch.column("id"), [], []
-            for begin, _, raw, offsets in S.batches(batch.column("text")):
-                w, first = S.words(raw, offsets, S.NOT_ALNUM)
-                h, win = S.shingles(w, first, items.width)
-                hits = np.flatnonzero(items.holds(h))
-                owner = np.searchsorted(win, hits, side="right") - 1
-                for d in np.unique(owner):
-                    got = search_text(h[win[d]:win[d + 1]], hits[owner == d] - win[d], items, threshold)
-                    rows += [begin + int(d)] * len(got)
-                    found += got
-            if rows:
+        for batch in batches if items.by_size else ():
+            found = list(search_batch(batch.column("text"), items, threshold))
+            if found:
+                row, item, sim, start, size = (list(c) for c in zip(*found))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(rows, pa.int64())), pa.array([x[0] for x in found], pa.int64()),
-                     pa.array([x[1] for x in found], pa.float64()), pa.array([x[2] for x in found], pa.int64()),
-                     pa.array([x[3] for x in found], pa.int64())],
+                    [batch.column("id").take(pa.array(row, pa.int64())), pa.array(item, pa.int64()),
+                     pa.array(sim, pa.float64()), pa.array(start, pa.int64()), pa.array(size, pa.int64())],
                     names=["id", "item_id", "similarity", "start_word", "n_words"])
     return run
 
 
+def _item_blocks(benchmark: DataFrame, width: int, block_items: int):
+    """Broadcasts of the benchmark in blocks of about ``block_items``."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
+    blocks = max(1, -(-items.count() // block_items))
+    for b in range(blocks):
+        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        yield spark.sparkContext.broadcast(([tuple(r) for r in mine.distinct().collect()], width))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  width: int = 5, threshold: float = 0.8, block_items: int = 5_000) -> DataFrame:
     """``(id, item_id, similarity, start_word, n_words)``: per document and
@@ -176,22 +187,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``block_items``, each against all documents; the documents are never
     shuffled. Repeated rows give repeated results; NULL and empty texts none.
     """
-    spark = docs.sparkSession
-    ship_code(spark)
-    kind = dict(docs.dtypes)[id_col]
+    ship_code(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    blocks = max(1, -(-items.count() // block_items))
-    schema = f"id {kind}, item_id long, similarity double, start_word long, n_words long"
+    schema = f"id {dict(docs.dtypes)[id_col]}, item_id long, similarity double, start_word long, n_words long"
     out = None
-    for b in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        shared = spark.sparkContext.broadcast(([tuple(r) for r in mine.distinct().collect()], width))
+    for shared in _item_blocks(benchmark, width, block_items):
         found = texts.mapInArrow(_search(shared, threshold), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", width: int = 5,
+                      threshold: float = 0.8, block_items: int = 5_000) -> DataFrame:
+    """Rows of ``docs`` in which no benchmark item is found, all columns."""
+    ship_code(docs.sparkSession)
+
+    def clean(shared):
+        held = []
+
+        def keep(batch):
+            if not held:
+                held.append(Items(*shared.value))
+            mask = np.ones(batch.num_rows, bool)
+            if held[0].by_size:
+                mask[[x[0] for x in search_batch(batch.column(text_col), held[0], threshold)]] = False
+            return pa.array(mask)
+        return keep
+    for shared in _item_blocks(benchmark, width, block_items):
+        docs = filter_rows(docs, clean(shared))
+    return docs
+
+
 @register("op9_benchmark_decontamination")
 def op9(spark, sf_dir):
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

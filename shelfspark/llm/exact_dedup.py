@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, register, stored, table
+from .common import ascii_lower, drop_keys, register, stored, table
 
 
 def full_hash(text: Column) -> Column:
@@ -58,28 +58,28 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return hashed.join(groups, "text_sha256")
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                prefix_chars: int = 128, most_broadcast: int = 1_000_000) -> DataFrame:
     """``docs`` without the copies: of equal texts the row with the largest id stays.
 
     Equal rows that repeat the kept id are left once. All columns are returned.
-    NULL and empty texts are equal; NULL ids stay only where no copy has an id.
+    NULL and empty texts are equal; of copies without any id one stays.
     """
-    groups = duplicate_groups(docs, id_col, text_col, **options)
-    # (id, text) of a row that must go: its id is not the kept one of its text
-    lost = groups.where(~F.col("id").eqNullSafe(F.col("keep_id"))) \
-        .select(F.col("id").alias("_lost_id"), F.col("text_sha256").alias("_lost_hash")).distinct()
-    # a kept id that repeats with the same text leaves one row
-    again = groups.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("id", "text_sha256") \
-        .agg(F.count("*").alias("n")).where("n > 1")
+    groups = duplicate_groups(docs, id_col, text_col, prefix_chars, most_broadcast)
+    is_kept = F.col("id").eqNullSafe(F.col("keep_id"))
+    # a row is named by its id and its text, which also tells repeated ids apart
+    lost = groups.where(~is_kept).select(F.col("id").alias(id_col), F.col("text_sha256").alias("_hash"))
+    again = groups.where(is_kept).groupBy("id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
     marked = docs.withColumn("_hash", full_hash(F.col(text_col)))
-    out = marked.join(lost, F.col(id_col).eqNullSafe(F.col("_lost_id"))
-                      & (F.col("_hash") == F.col("_lost_hash")), "left_anti")
-    if again.isEmpty():
+    out = drop_keys(marked, lost, most_broadcast)
+    repeated = stored(again.select(F.col("id").alias(id_col), F.col("text_sha256").alias("_hash")), "repeated")
+    if repeated.isEmpty():
         return out.drop("_hash")
-    repeated = again.select(F.col("id").alias("_again_id"), F.col("text_sha256").alias("_again_hash"))
-    same = F.col(id_col).eqNullSafe(F.col("_again_id")) & (F.col("_hash") == F.col("_again_hash"))
-    once = out.join(repeated, same, "left_semi").dropDuplicates([id_col, "_hash"])
-    return out.join(repeated, same, "left_anti").unionByName(once).drop("_hash")
+    once = drop_keys(marked, lost, most_broadcast).join(
+        repeated.toDF("_again_id", "_again_hash"),
+        F.col(id_col).eqNullSafe(F.col("_again_id")) & (F.col("_hash") == F.col("_again_hash")),
+        "left_semi").dropDuplicates([id_col, "_hash"])
+    return drop_keys(out, repeated, most_broadcast).unionByName(once).drop("_hash")
 
 
 OP8_SQL = """

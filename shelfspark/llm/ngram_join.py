@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .common import register, semi_join_ids, ship_code, stored, table
+from .common import drop_keys, register, semi_join_ids, ship_code, stored, table
 from .components import connected_components
 
 CLASS_SHIFT, HASH_BITS_CUT = 58, 6  # class (0..31) above 58 bits of hash
@@ -304,6 +304,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .alias("component_id"))
 
 
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each component, the one of smallest id; all
+    columns. Rows without id stay, as they are in no component."""
+    found = jaccard_components(docs, id_col, text_col, **options)
+    lost = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias(id_col))
+    return drop_keys(docs, lost)
+
+
 OP1_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

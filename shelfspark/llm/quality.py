@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .common import held_out, register, ship_code, table
+from .common import filter_rows, held_out, register, ship_code, table
 
 PASSAGE = 512
 # Character classes; every other byte below 128 is "other".
@@ -175,6 +175,19 @@ def score_quality(docs: DataFrame, model: AttentionMIL, id_col: str = "doc_id",
         .mapInArrow(_scores(spark.sparkContext.broadcast(model)), f"id {dict(docs.dtypes)[id_col]}, score double")
 
 
+def keep_good(docs: DataFrame, model: AttentionMIL, least: float = 0.3, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that score ``least`` or more, all columns."""
+    spark = docs.sparkSession
+    ship_code(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def good(batch):
+        scores = [shared.value.score(*encode(raw, offsets))
+                  for _, _, raw, offsets in S.batches(batch.column(text_col), 1 << 19)]
+        return pa.array(np.concatenate(scores).astype(np.float64) >= least if scores else np.zeros(0, bool))
+    return filter_rows(docs, good)
+
+
 @register("op2_quality_mil")
 def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

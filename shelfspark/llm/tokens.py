@@ -1,22 +1,24 @@
 """Token ids of whole texts with a public tokenizer, as bytes.
 
-The tokenizer never merges across white space, so a text's ids are those of its
-space-separated chunks put together. Chunks repeat, so their ids are kept in a
-bounded cache per Python worker; what is not in it goes through the tokenizers
-library.
+The tokenizer works on words on their own (it drops white space and splits at
+every change between letters, digits and marks), so a text's ids are its words'
+ids put together. Words repeat: their ids are kept in a bounded cache per Python
+worker, and a new word goes through the tokenizers library's model. Chunks with
+characters outside the plain set below go through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
-# The split pattern of the vocabulary file, for chunks of the
-# plain characters below, where it needs no Unicode tables.
-PLAIN_CHUNK = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]*")
-PLAIN_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+# The split pattern of the vocabulary file, for the plain
+# characters, where it needs no Unicode tables.
+NOT_PLAIN = re.compile("[^\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]")
+PLAIN_WORDS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9ß-öø-ÿ]+")
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -32,63 +34,79 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_alphabet() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies:
+    printable Latin-1 bytes for themselves, the others for 256 and up in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+class _Words(dict):
+    """Word -> ids as bytes; a missing word is encoded and kept."""
+
+    def __init__(self, model, most: int, longest: int = 64):
+        super().__init__()
+        self.model, self.most, self.longest = model, most, longest
+        self.alphabet = byte_alphabet()
+
+    def __missing__(self, word: str) -> bytes:
+        known = word if word.isascii() else "".join([self.alphabet[b] for b in word.encode()])
+        ids = array("I", [t.id for t in self.model.tokenize(known)]).tobytes()
+        if len(word) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+class _Chunks(dict):
+    """Chunk with other characters -> ids by the whole tokenizer."""
+
+    def __init__(self, tokenizer, most: int, longest: int = 64):
+        super().__init__()
+        self.tokenizer, self.most, self.longest = tokenizer, most, longest
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(chunk) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit, as bytes), no special tokens added."""
 
-    def __init__(self, path: str, most_cached: int = 300_000, longest_cached: int = 64):
+    def __init__(self, path: str, most_cached: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.most_cached, self.longest_cached = most_cached, longest_cached
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
-        # a chunk may hold the text of an added token, which is then that token
+        self.words = _Words(self.tokenizer.model, most_cached)
+        self.chunks = _Chunks(self.tokenizer, most_cached // 5)
+        # the text of an added token, where it occurs, is that token
         marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, marks))) if marks else None
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _learn(self, missing: list[str]) -> dict[str, bytes]:
-        plain, other = [], []
-        for c in missing:
-            ok = PLAIN_CHUNK.fullmatch(c) and not (self.added and self.added.search(c))
-            (plain if ok else other).append(c)
-        split = [PLAIN_WORDS.findall(c.lower()) for c in plain]
-        new = list({w for ws in split for w in ws if w not in self.words})
-        if len(self.words) + len(new) > self.most_cached:
-            self.words = {}
-            new = list({w for ws in split for w in ws})
-        self.words.update(zip(new, self._encode(new)))
-        found = dict(zip(other, self._encode(other)))
-        found.update((c, b"".join([self.words[w] for w in ws])) for c, ws in zip(plain, split))
-        return found
+        self.added = re.compile("|".join(map(re.escape, marks)) or "(?!)")
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, PLAIN_WORDS.findall(text.lower())))
+
+    def _is_plain(self, text: str) -> bool:
+        return not NOT_PLAIN.search(text) and not self.added.search(text)
+
+    def one(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self._is_plain(text):
+            return self._plain(text)
+        # spaces and line breaks end every word, so chunks can be encoded apart
+        return b"".join([self._plain(c) if self._is_plain(c) else self.chunks[c]
+                         for c in text.replace("\n", " ").split(" ") if c])
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        missing = list(set().union(*split).difference(self.chunks)) if split else []
-        if len(self.chunks) + len(missing) > self.most_cached:
-            self.chunks = {"": b""}
-            missing = list(set().union(*split))
-        found = self._learn(missing) if missing else {}
-        get = self.chunks
-        get.update((c, ids) for c, ids in found.items() if len(c) <= self.longest_cached)
-        long = {c: ids for c, ids in found.items() if len(c) > self.longest_cached}
-        if long:
-            get = {**get, **long} if len(long) > 1000 else _Both(get, long)
-        return [b"".join(map(get.__getitem__, s)) for s in split]
-
-
-class _Both:
-    """Two dicts looked up one after the other."""
-
-    def __init__(self, first, second):
-        self.first, self.second = first, second
-
-    def __getitem__(self, key):
-        return self.first[key] if key in self.first else self.second[key]
+        return [self.one(t) for t in texts]
 
 
 def text_slices(batch, most_chars: int = 1 << 21):

@@ -33,11 +33,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 _shipped: set[str] = set()
 
+# Rows hold whole texts: fewer of them per Arrow batch than Spark's 10,000, so
+# that a batch is a few MB. Set only where the launch configuration does not.
+WHOLE_TEXTS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
+
 
 def ship_code(spark: SparkSession) -> None:
     """Give the Python workers this package, once per application, so that
     executors need no installed copy of it."""
     sc = spark.sparkContext
+    for key, value in WHOLE_TEXTS.items():
+        if not sc.getConf().contains(key):
+            spark.conf.set(key, value)
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

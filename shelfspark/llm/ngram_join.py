@@ -58,7 +58,7 @@ def _word_counts(batches):
             for a, b in zip(first[:-1], first[1:]):
                 held.append(np.unique(w[a:b]))
                 size += len(held[-1])
-            if size > 4_000_000:
+            if size > 1_500_000:
                 yield from flush()
                 held, size = [], 0
     if size:
@@ -233,7 +233,7 @@ def _links_batch(links):
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        width: int = 5, percent: int = 80, list_size: int = 64,
-                       block: int = 128) -> DataFrame:
+                       block: int = 512) -> DataFrame:
     """One row per input row: ``(id, n_shingles, component_id)``.
 
     Texts link at ``100 * |A & B| >= percent * |A | B|`` of their sets of

@@ -86,7 +86,8 @@ class AttentionMIL:
     def fit(self, x, first, y, epochs=30, rate=0.003, decay=1e-4, batch=128, seed=11):
         self.mean = x.mean(axis=0)
         self.scale = 1 / (x.std(axis=0) + 0.02)
-        x = (x - self.mean) * self.scale
+        x -= self.mean  # the sample is the caller's to use up
+        x *= self.scale
         weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)).astype(np.float32)
         r = np.random.default_rng(seed)
         m1 = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -141,7 +142,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int,
     return texts.join(F.broadcast(picked), "id").select("text", "y")  # 2 * most rows at most
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 2_000,
+def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 1_500,
                 **ids) -> AttentionMIL:
     """Fit on at most ``most`` labelled documents of each class (all their passages)."""
     ship_code(docs.sparkSession)
@@ -151,9 +152,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most
     model = AttentionMIL(FEATURES)
     if not rows.num_rows:
         return model
-    bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows["passages"].to_pylist()]
-    first = np.concatenate([[0], np.cumsum([len(b) for b in bags])])
-    return model.fit(np.concatenate(bags), first, rows["y"].to_numpy().astype(np.float32))
+    y = rows["y"].to_numpy().astype(np.float32)
+    bags = rows["passages"]
+    first = np.concatenate([[0], np.cumsum([len(b.as_buffer()) // (4 * FEATURES) for b in bags])])
+    x = np.empty((int(first[-1]), FEATURES), np.float32)
+    for i, b in enumerate(bags):
+        x[first[i]:first[i + 1]] = np.frombuffer(b.as_buffer(), np.float32).reshape(-1, FEATURES)
+    del rows, bags
+    return model.fit(x, first, y)
 
 
 def _scores(model):

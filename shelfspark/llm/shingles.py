@@ -106,13 +106,14 @@ def shingles(word_hash: np.ndarray, first: np.ndarray, width: int) -> tuple[np.n
     return out, win_first
 
 
-def batches(texts: pa.Array, most_bytes: int = 1 << 20):
+def batches(texts: pa.Array, most_bytes: int = 1 << 20, most_rows: int = 1024):
     """``(begin, end, raw, offsets)`` slices of a string array: at most
     ``most_bytes`` of text each, or one text where that is longer."""
-    raw, offsets = text_bytes(texts)
-    begin, n = 0, len(offsets) - 1
-    while begin < n:
-        end = int(np.searchsorted(offsets, offsets[begin] + most_bytes, side="right")) - 1
-        end = min(max(end, begin + 1), n)
-        yield begin, end, raw[offsets[begin]:offsets[end]], offsets[begin:end + 1] - offsets[begin]
-        begin = end
+    for row in range(0, len(texts), most_rows):
+        raw, offsets = text_bytes(texts.slice(row, most_rows))
+        begin, n = 0, len(offsets) - 1
+        while begin < n:
+            end = int(np.searchsorted(offsets, offsets[begin] + most_bytes, side="right")) - 1
+            end = min(max(end, begin + 1), n)
+            yield row + begin, row + end, raw[offsets[begin]:offsets[end]], offsets[begin:end + 1] - offsets[begin]
+            begin = end

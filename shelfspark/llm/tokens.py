@@ -79,7 +79,7 @@ class _Chunks(dict):
 class Encoder:
     """Texts to ids (little-endian unsigned 32-bit, as bytes), no special tokens added."""
 
-    def __init__(self, path: str, most_cached: int = 500_000):
+    def __init__(self, path: str, most_cached: int = 150_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)

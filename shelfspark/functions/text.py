@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 # Patterns and literals the catalog text is cleaned with.
-EDGE_WHITESPACE = r"(?U)^\s+|\s+\z"
+EDGE_WHITESPACE = r"(?U)^\s+|(?<!\s)\s+\z"  # a run is tried from its start only
 HTML_TAG = r"<[^<]+?>"
 WHITESPACE_RUN = r"(?U)\s+"
 NOT_PRICE_CHAR = r"[^0-9.]"
 YEAR_AT_END = r", (\d{4})\z"
-DIGITS_AT_END = r"(\d+)\z"
+DIGITS_AT_END = r"(?<!\d)(\d+)\z"
 FULL_AUDIO_LEGEND = "languages with full audio support"
 LANGUAGE_SEPARATOR = ", "
 LIST_SEPARATOR = ", "

@@ -36,13 +36,15 @@ def connection_options(**overrides) -> dict[str, str]:
 
 
 def sql_ready(df: DataFrame) -> DataFrame:
-    """Cast columns without a SQL type (arrays, maps, structs) to JSON text."""
+    """Columns without a SQL type as text: arrays, maps and structs as JSON, others cast."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, _SQL_TYPES):
             cols.append(F.col(f.name))
-        else:
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
             cols.append(F.to_json(F.col(f.name)).alias(f.name))
+        else:
+            cols.append(F.col(f.name).cast("string").alias(f.name))
     return df.select(*cols)
 
 

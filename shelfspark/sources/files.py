@@ -9,7 +9,7 @@ chunk files (or JSON Lines); every chunk is then its own task.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +20,13 @@ CHUNK_NUMBER = r"chunk(?:_(\d+)\.json|=(\d+)/)"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool | None:
-    """Whether ``path`` exists on its file system (None if it cannot be asked)."""
+    """Whether ``path`` (may be a glob) exists on its file system (None if it cannot be asked)."""
     try:
         sc = spark.sparkContext
         jvm, jsc = sc._jvm, sc._jsc
         p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(jsc.hadoopConfiguration()).exists(p))
+        found = p.getFileSystem(jsc.hadoopConfiguration()).globStatus(p)
+        return found is not None and len(found) > 0
     except Exception:  # no JVM gateway (e.g. Spark Connect): let the read decide
         return None
 
@@ -55,12 +56,17 @@ def keyed_objects(spark: SparkSession, path: str, dedupe: bool = True) -> DataFr
     ``chunk=<n>/`` (NULL otherwise). Within one file the last duplicate key
     wins (as with a Python dict). With ``dedupe=False`` every occurrence is
     kept with its position ``pos`` in the file, so a merge that orders by
-    ``(chunk_no, pos)`` does both in one shuffle (see ``merge_chunks``).
+    ``(chunk_no, pos)`` does both in one shuffle (see ``merge_chunks``). A file
+    that does not parse (such as a truncated one) raises with its name.
     """
     raw = spark.read.text(path, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("file"))
+    records = F.from_json("value", "map<string,string>")
+    broken = records.isNull() & (F.trim("value") != "")
     exploded = raw.select(
-        F.posexplode(F.map_entries(F.from_json("value", "map<string,string>"))).alias("pos", "e"),
+        F.posexplode(F.map_entries(F.when(broken, F.raise_error(
+            F.concat(F.lit("not a JSON object of records: "), F.col("file")))
+            .cast("map<string,string>")).otherwise(records))).alias("pos", "e"),
         "file")
     chunk = F.nullif(F.concat(F.regexp_extract("file", CHUNK_NUMBER, 1),
                               F.regexp_extract("file", CHUNK_NUMBER, 2)), F.lit("")).try_cast("bigint")
@@ -91,26 +97,42 @@ def json_lines_records(spark: SparkSession, path: str) -> DataFrame:
                       F.col("value").alias("record"))
 
 
+# One element of an indented JSON array of ids: "10", or 10,
+INDENTED_ID = r'^\s*(?:"([^"]*)"|(-?[0-9]+))\s*,?\s*$'
+INDENTED_APPID = r'"appid"\s*:\s*"?(-?[0-9]+)'
+
+
+def _line_ids(parsed: Column) -> Column:
+    """Ids of a line: those of the document on it, or of a line of an indented array."""
+    alone = F.concat(F.regexp_extract("value", INDENTED_ID, 1), F.regexp_extract("value", INDENTED_ID, 2))
+    return F.coalesce(parsed, F.when(F.col("value").rlike(INDENTED_ID), F.array(alone)))
+
+
 def app_list(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """SRC3: ``{"applist": {"apps": [{"appid": 1}, ...]}}`` -> ``(app_id STRING)``.
 
-    Also reads a cached list (a JSON array of id strings or numbers). By
-    default each line holds one document, so files and lines read in
-    parallel; ``multiline=True`` reads one (pretty-printed) document per file.
+    Also reads a cached list (a JSON array of id strings or numbers). Lines read
+    in parallel: each holds one document, or a line of an indented one.
+    ``multiline=True`` parses each file as one document.
     """
     text = spark.read.text(path, wholetext=multiline)
     payload = F.from_json("value", "applist struct<apps: array<struct<appid: string>>>")
     cached = F.from_json("value", "array<string>")
     ids = F.coalesce(F.transform(payload["applist"]["apps"], lambda a: a["appid"]), cached)
+    if not multiline:
+        named = F.regexp_extract_all("value", F.lit(INDENTED_APPID), F.lit(1))
+        ids = F.when(F.coalesce(F.size(ids), F.lit(-1)) >= 0, ids) \
+            .when(F.size(named) > 0, named).otherwise(_line_ids(ids))
     return text.select(F.explode(ids).alias("app_id")).select(F.col("app_id").cast("string"))
 
 
 def id_set(spark: SparkSession, path: str, status: str | None = None,
            multiline: bool = False) -> DataFrame:
-    """SRC6: JSON arrays of ids (one per line) -> distinct ``(app_id[, status])``.
+    """SRC6: JSON arrays of ids -> distinct ``(app_id[, status])``.
 
-    ``multiline=True`` reads one (pretty-printed) array per file. A missing
-    path is the empty set.
+    Lines read in parallel: each holds one array, or a line of an indented one.
+    ``multiline=True`` parses each file as one array. A missing path is the
+    empty set.
     """
     schema = S.STATUS_SCHEMA if status else T.StructType([T.StructField("app_id", T.StringType())])
     if path_exists(spark, path) is False:
@@ -121,7 +143,8 @@ def id_set(spark: SparkSession, path: str, status: str | None = None,
         if ex.getCondition() == "PATH_NOT_FOUND" or "Path does not exist" in str(ex):
             return spark.createDataFrame([], schema)
         raise
-    ids = text.select(F.explode(F.from_json("value", "array<string>")).alias("app_id")).distinct()
+    parsed = F.from_json("value", "array<string>")
+    ids = text.select(F.explode(parsed if multiline else _line_ids(parsed)).alias("app_id")).distinct()
     return ids.withColumn("status", F.lit(status)) if status else ids
 
 

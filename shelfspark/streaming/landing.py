@@ -13,6 +13,8 @@ number ``epoch + 1``:
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,7 +32,8 @@ def ingest_stream(spark: SparkSession, landing: str, root: str, fmt: str = "parq
     """Start the ingest stream; ``available_now`` processes what is landed, then stops.
 
     ``stats`` is a (batch) table of statistics bodies used for enrichment.
-    ``checkpoint`` defaults to a folder under the session's shared folder.
+    ``checkpoint`` defaults to a folder under the session's shared folder, one for
+    each pair of landing folder and root.
     """
     reader = spark.readStream.schema(LANDED_SCHEMA).format(fmt)
     if max_files_per_trigger:
@@ -45,7 +48,10 @@ def ingest_stream(spark: SparkSession, landing: str, root: str, fmt: str = "parq
             # fold only this run into the last merged snapshot
             jobs.merge_incremental(batch.sparkSession, root, enriched=stats is not None)
 
+    if checkpoint is None:
+        pair = hashlib.sha256(f"{landing.rstrip('/')}\n{root.rstrip('/')}".encode()).hexdigest()[:32]
+        checkpoint = shared_path(spark, "streams", f"ingest-{pair}")
     writer = (bodies.writeStream.foreachBatch(run_batch)
-              .option("checkpointLocation", checkpoint or shared_path(spark, "streams", "ingest")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

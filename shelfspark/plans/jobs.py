@@ -135,7 +135,8 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
 
     out_path = _p(root, "outcomes")
     sinks.write_batch(outcomes, out_path, run, fmt="parquet", column="run", chunk_size=chunk_size)
-    written = spark.read.parquet(out_path).where(F.col("run") == run).select("app_id", "outcome")
+    # the schema is named: an empty first run leaves no file to infer it from
+    written = spark.read.schema(OUTCOME_KEYS).parquet(out_path).where(F.col("run") == run).select("app_id", "outcome")
     summary = ingest.run_summary(apps, status, written)
     sinks.write_batch(summary, _p(root, "summary"), run, fmt="parquet", column="run")
     if compact_every and run % compact_every == 0:

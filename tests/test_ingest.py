@@ -338,3 +338,11 @@ def test_transform_publishes_the_ingested_catalog(spark, scratch):
     assert counts == {"Action": 2, "RPG": 2}
     years = {r["release_year"]: r["game_count"] for r in spark.read.parquet(paths["games_per_year"]).collect()}
     assert years == {2021: 2}
+
+
+def test_empty_first_run(spark, scratch):
+    from shelfspark.plans import jobs
+    apps = spark.createDataFrame([], "app_id string")
+    bodies = spark.createDataFrame([], "app_id string, body string")
+    row = jobs.ingest_run(spark, f"{scratch}/root", apps, bodies).first()
+    assert (row["added"], row["failed"], row["total"]) == (0, 0, 0)

@@ -94,7 +94,9 @@ def safe_int(c: ColumnOrName, default: int = 0) -> Column:
 
 def whole_number(c: ColumnOrName, default: int = 0) -> Column:
     """A JSON number (int or float, as text) truncated to BIGINT; else ``default`` (SCL22)."""
-    return F.coalesce(_col(c).try_cast("double").try_cast("bigint"), F.lit(default).cast("bigint"))
+    # whole digits directly: a DOUBLE would lose those above 2^53
+    return F.coalesce(_col(c).try_cast("bigint"), _col(c).try_cast("double").try_cast("bigint"),
+                      F.lit(default).cast("bigint"))
 
 
 def fill_null(c: ColumnOrName, value) -> Column:

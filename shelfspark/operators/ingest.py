@@ -1,7 +1,7 @@
 """Ingest operators: parse, check, normalise, enrich, classify, upsert.
 
-Inputs are landed payload tables ``(app_id STRING, body STRING)`` — one
-response body per app — so every step is a column expression or a join on
+Inputs are landed payload tables ``(app_id STRING, body STRING)``, where apps
+land more than once with a sortable ``landed_at`` — so every step is a column expression or a join on
 ``app_id``. No Python UDF anywhere.
 
 Shuffles: the enrichment and classification joins shuffle on ``app_id``
@@ -23,6 +23,7 @@ from ..functions import text as X
 # Text of a rate-limited secondary response.
 RATE_LIMIT_TEXT = "Too many connections"
 
+LANDED_AT = "landed_at"  # optional column of landed tables: the latest delivery counts
 NOT_RELEASED_OUTCOME, DISCARDED_OUTCOME = "not_released", "discarded"
 OUTCOMES = (S.ADDED, NOT_RELEASED_OUTCOME, DISCARDED_OUTCOME, S.FAILED)
 
@@ -122,16 +123,39 @@ def parse_stats(df: DataFrame, body: str = "body", app_id: str = "app_id") -> Da
     """FLT2: keep valid stats bodies, one per app, as a parsed ``stats`` struct.
 
     Valid: non-blank, no rate-limit text, parses as a JSON object, and a
-    non-empty ``developer``. Several valid bodies for one app reduce to the
-    greatest (a deterministic pick) so the enrichment join cannot multiply rows.
+    non-empty ``developer``. Of several valid bodies for one app the one landed
+    last stays (column ``landed_at``; without it the greatest, a deterministic
+    pick), so the enrichment join cannot multiply rows.
     """
     text = F.col(body)
     valid_text = (F.length(F.trim(F.coalesce(text, F.lit("")))) > 0) & \
         ~F.coalesce(text.contains(RATE_LIMIT_TEXT), F.lit(False))
+    order = _landing_order(df)
     parsed = (df.where(valid_text)
-              .select(app_id, F.from_json(text, S.STATS_RAW).alias("stats"))
+              .select(app_id, F.from_json(text, S.STATS_RAW).alias("stats"), *order)
               .where(F.coalesce(F.col("stats.developer") != "", F.lit(False))))
-    return parsed.groupBy(app_id).agg(F.max("stats").alias("stats"))
+    return parsed.groupBy(app_id).agg(F.max_by("stats", F.struct(*order, "stats")).alias("stats"))
+
+
+def _landing_order(df: DataFrame) -> list[str]:
+    """The column that orders deliveries, where the landed table has one."""
+    return [LANDED_AT] if LANDED_AT in df.columns else []
+
+
+def latest_primary(primary: DataFrame, app_id: str = "app_id", body: str = "body") -> DataFrame:
+    """One parsed delivery per app: ``(app_id, parsed, success, data)``.
+
+    A JSON body is preferred over one that is not; of those the one landed last
+    (``landed_at``) counts. Equal or no landing times: one with data first, then
+    by a hash of the body, the same at every run. Partial aggregation: one
+    candidate per app leaves each task.
+    """
+    order = _landing_order(primary)
+    p = parse_primary(primary.select(app_id, body, F.xxhash64(body).alias("_hash"), *order), body, app_id)
+    usable = F.col("success") & F.col("data").isNotNull()
+    best = F.max_by(F.struct("parsed", "success", "data"),
+                    F.struct("parsed", *order, usable.alias("usable"), "_hash"))
+    return p.groupBy(app_id).agg(best.alias("_best")).select(app_id, "_best.*")
 
 
 # Enrichment fields -> (source key, default), in record order.
@@ -159,7 +183,8 @@ def stats_columns(stats: Column) -> list[Column]:
         elif name == "tags":
             cols.append(X.tags_map(stats[key]).alias(name))
         else:
-            cols.append(F.coalesce(stats[key], F.lit(default)).alias(name))
+            value = X.whole_number(stats[key]) if default == 0 else F.coalesce(stats[key], F.lit(default))
+            cols.append(value.alias(name))
     return cols
 
 
@@ -180,18 +205,14 @@ def classify(work: DataFrame, primary: DataFrame, stats: DataFrame | None = None
     Outcomes: ``added``; ``not_released`` (empty release date); ``discarded``
     (a JSON body that is unsuccessful or ineligible); ``failed`` (no body
     landed, or a body that is not JSON — retried next run). ``stats`` (raw
-    bodies) enriches added records; ``None`` skips enrichment.
+    bodies) enriches added records; ``None`` skips enrichment. Of several
+    deliveries for one app ``latest_primary`` and ``parse_stats`` choose.
     """
-    # De-duplicate first: the aggregation's partial step collapses the copies
-    # of an app inside every task, so an app landed over and over (even a third
-    # of all bodies) crosses the shuffle once per task. Then only the work
-    # list's bodies go on to be parsed; the semi-join reuses the aggregation's
-    # partitioning on app_id.
+    # Cut to the work list first: only its bodies are parsed and aggregated. A
+    # work list under the broadcast threshold cuts in the scan; a larger one
+    # costs one shuffle on app_id, which the aggregation and the join after it use too.
     work = work.select(app_id)
-    bodies = (primary.select(app_id, "body").groupBy(app_id).agg(F.max("body").alias("body"))
-              .join(work, app_id, "left_semi"))
-    p = parse_primary(bodies, app_id=app_id)
-    j = (work.join(p, app_id, "left")
+    j = (work.join(latest_primary(primary.join(work, app_id, "left_semi"), app_id), app_id, "left")
          .withColumn("ok", eligible(F.col("success"), F.col("data")))
          .withColumn("rec", normalise(F.col("data"))))
     outcome = (F.when(~F.coalesce(F.col("parsed"), F.lit(False)), F.lit(S.FAILED))
@@ -205,7 +226,7 @@ def classify(work: DataFrame, primary: DataFrame, stats: DataFrame | None = None
         return out
     # stats are cut to the work list too (not to the added apps: that would
     # recompute the classification); non-added apps ignore their stats below
-    parsed_stats = parse_stats(stats, app_id=app_id).join(work, app_id, "left_semi")
+    parsed_stats = parse_stats(stats.join(work, app_id, "left_semi"), app_id=app_id)
     joined = out.join(parsed_stats, app_id, "left")
     enriched = F.struct(F.col("record.*"), *stats_columns(F.col("stats")))
     return joined.select(app_id, "outcome",
@@ -231,6 +252,11 @@ def last_wins(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
+    plain = [c for c in others if c != order]
+    if len(plain) == 1 and not isinstance(df.schema[order].dataType, T.StructType):
+        # one value: no struct, so that fixed-width ones aggregate by hash
+        return (df.groupBy(*keys).agg(F.max_by(plain[0], order).alias(plain[0]), F.max(order).alias(order))
+                .select(*keys, *others))
     best = F.max_by(F.struct(*others), F.col(order)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*")
 

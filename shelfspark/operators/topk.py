@@ -1,52 +1,23 @@
-"""Top-k over keys (deduplicate by key, then top k) without shuffling every key.
+"""Top-k over keys: deduplicate by key, then the first k.
 
-``groupBy(key)`` over a high-cardinality key (a name column) shuffles every
-distinct key. The top k keys only need rows at or above a threshold ``t``:
-
-* take the top ``sample_rows`` rows by value (``TakeOrderedAndProject``:
-  per-partition top-n, no full shuffle), and a second such sample without the
-  first sample's most frequent key — one hot key holding the top of the
-  order cannot crowd every other key out;
-* among the keys of both samples, the k-th largest per-key maximum is ``t``.
-  Those k keys all have a global maximum >= t, so no key whose maximum is
-  < t can be in the answer. Fewer than k keys -> no threshold (exact fallback).
-
-Rows below ``t`` are dropped before the shuffle; the result is exact. The
-samples and ``t`` are scalar subqueries: nothing loops on the driver.
+One scan and one shuffle of ``(key, value)`` pairs, pre-aggregated in each task
+(a hot key crosses the shuffle once per task); the top k of the keys are taken
+per partition (``TakeOrderedAndProject``), so no global sort.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def threshold(df: DataFrame, key: str, value: str, k: int, sample_rows: int) -> Column:
-    """Scalar lower bound for the top-k keys' values (NULL when none is known)."""
-    v = F.col(value)
-    rows = df.where(v.isNotNull()).select(key, value)
-    first = rows.orderBy(v.desc()).limit(sample_rows)
-    hot = (first.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-           .orderBy(F.col("n").desc(), F.col(key).asc_nulls_first()).limit(1)
-           .select(key).scalar())
-    second = rows.where(~F.col(key).eqNullSafe(hot)).orderBy(v.desc()).limit(sample_rows)
-    kth = (first.unionByName(second).groupBy(key).agg(F.max(value).alias("m"))
-           .orderBy(F.col("m").desc()).limit(k)
-           .agg(F.min("m").alias("t"), F.count(F.lit(1)).alias("n")))
-    return kth.select(F.when(F.col("n") >= k, F.col("t"))).scalar()
-
-
-def top_k_distinct(df: DataFrame, key: str, value: str, k: int,
-                   sample_rows: int | None = None) -> DataFrame:
+def top_k_distinct(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
     """One row per key: its value is NULL if any row is NULL, else the max.
 
     Ordered by value descending (NULL first), then key ascending; first k.
     """
-    sample_rows = sample_rows or max(100 * k, 1000)
     v = F.col(value)
-    t = threshold(df, key, value, k, sample_rows)
-    kept = df.select(key, value).where(v.isNull() | t.isNull() | (v >= t))
     rep = F.when(F.count_if(v.isNull()) == 0, F.max(v))
-    return (kept.groupBy(key).agg(rep.alias(value))
+    return (df.groupBy(key).agg(rep.alias(value))
             .orderBy(F.col(value).desc_nulls_first(), F.col(key).asc_nulls_first())
             .limit(k))

@@ -9,6 +9,7 @@ parse -> check -> normalise -> enrich path against an independent derivation.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +43,9 @@ def _with_cls(select_sql: str) -> str:
 
 
 def _scratch(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """A new folder for each call: queries never share what they write."""
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
-    return shared_path(spark, "queries", name, tag)
+    return shared_path(spark, "queries", name, f"{tag}-{uuid.uuid4().hex}")
 
 
 def _join(c) -> F.Column:
@@ -452,10 +454,8 @@ SELECT app_id, CASE outcome WHEN 'added' THEN 'processed' WHEN 'not_released' TH
 FROM cls WHERE outcome <> 'failed'"""))
 def ingest_stream_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies land in two parts; two available-now stream runs ingest them."""
-    import uuid
-
     from ..streaming.landing import ingest_stream
-    root = f"{_scratch(spark, 'ingest_stream', sf_dir)}/{uuid.uuid4().hex}"
+    root = _scratch(spark, 'ingest_stream', sf_dir)
     _, primary, stats = payloads.landed(spark, sf_dir)
     k = F.col("app_id").cast("bigint")
     for part in (0, 1):
@@ -479,6 +479,62 @@ def ingested_genre_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genre_counts(jobs.catalog_from_merged(spark, root))
 
 
+@register("classify_redelivered", _with_cls("SELECT app_id, outcome," + _enriched_sql(True) + "\nFROM cls"))
+def classify_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every app landed three times: a refusal first, then its body, then a body
+    that is not JSON. The body in the middle counts, neither greatest nor smallest."""
+    apps, primary, stats = payloads.landed(spark, sf_dir)
+    ok = primary.where(F.json_object_keys("body").isNotNull())
+    refused = F.concat(F.lit('{"'), "app_id", F.lit('": {"success": false}}'))
+    bodies = (primary.withColumn("landed_at", F.lit(2))
+              .unionByName(ok.select("app_id", refused.alias("body"), F.lit(1).alias("landed_at")))
+              .unionByName(primary.select("app_id", F.lit("~ unavailable").alias("body"), F.lit(3).alias("landed_at"))))
+    older = F.lit('{"developer": "zz", "userscore": "999", "ccu": 999.0}')
+    known = ingest.parse_stats(stats).select("app_id")
+    feed = stats.withColumn("landed_at", F.lit(2)).unionByName(
+        known.select("app_id", older.alias("body"), F.lit(1).alias("landed_at")))
+    out = ingest.classify(apps, bodies, feed)
+    return round_doubles(out.select("app_id", "outcome", *_enriched_columns()))
+
+
+@register("ingest_mixed_enrichment", _with_cls("""
+SELECT app_id, name, CASE WHEN sv AND k % 2 = 1 THEN peak_ccu ELSE 0 END AS peak_ccu,
+  CASE WHEN k % 2 = 0 THEN '' WHEN sv AND estimated_owners <> '' THEN estimated_owners ELSE '0 - 0' END AS estimated_owners
+FROM cls WHERE outcome = 'added'"""))
+def ingest_mixed_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run 1 ingests the even apps without statistics, run 2 the odd ones with them."""
+    root = _scratch(spark, "ingest_mixed_enrichment", sf_dir)
+    apps, primary, stats = payloads.landed(spark, sf_dir)
+    odd = F.pmod(F.col("app_id").cast("bigint"), F.lit(2)) == 1
+    jobs.ingest_run(spark, root, apps.where(~odd), primary)
+    jobs.ingest_run(spark, root, apps.where(odd), primary, stats)
+    jobs.merge(spark, root)
+    return jobs.catalog_from_merged(spark, root).select("app_id", "name", "peak_ccu", "estimated_owners")
+
+
+@register("ingest_three_runs", _with_cls(r"""
+SELECT app_id, CASE outcome WHEN 'added' THEN 'processed' WHEN 'not_released' THEN 'notreleased'
+                            ELSE 'discarded' END AS status
+FROM cls WHERE outcome <> 'failed'"""))
+def ingest_three_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run 1 finds every app without a date (not released), run 2 looks at those
+    again and finds their bodies, run 3 only fails; the log is compacted between."""
+    root = _scratch(spark, "ingest_three_runs", sf_dir)
+    apps, primary, stats = payloads.landed(spark, sf_dir)
+    undated = F.concat(F.lit('{"'), "app_id", F.lit(
+        '": {"success": true, "data": {"type": "game", "is_free": true, "developers": ["d"]}}}'))
+    ok = primary.where(F.json_object_keys("body").isNotNull())
+    jobs.ingest_run(spark, root, apps, ok.select("app_id", undated.alias("body")))
+    jobs.compact(spark, root)
+    # a decided app leaves the not-released set only when it is added
+    jobs.ingest_run(spark, root, apps, primary, stats, released=False)
+    jobs.ingest_run(spark, root, apps, primary.limit(0), stats, released=False)
+    status = jobs.current_status(spark, root)
+    decided = status.where(F.col("status") == S.DISCARDED).select("app_id")
+    return status.where(F.col("status") != S.NOT_RELEASED).unionByName(
+        status.where(F.col("status") == S.NOT_RELEASED).join(decided, "app_id", "left_anti"))
+
+
 # --- one key per scalar parser (SCL11, SCL12, SCL20, SCL19) and the language lists (SCL13, SCL14)
 
 _T_CTE = f"WITH t AS (SELECT p_partkey, {_TEXTS} FROM part)"

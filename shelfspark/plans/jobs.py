@@ -34,7 +34,7 @@ from .. import schema as S
 from ..operators import ingest
 from ..operators.flatten import flatten_struct
 from ..sinks import files as sinks
-from ..sources.files import path_exists, read_or_empty
+from ..sources.files import numbered_folders, read_or_empty, remove_folder
 from . import reports
 
 OUTCOME_KEYS = T.StructType([T.StructField("app_id", T.StringType()),
@@ -61,16 +61,40 @@ def record_batches(spark: SparkSession, root: str, enriched: bool = True) -> Dat
     schema = T.StructType([OUTCOME_KEYS["app_id"], OUTCOME_KEYS["outcome"],
                            T.StructField("record", _record_type(enriched)), OUTCOME_KEYS["run"]])
     o = read_or_empty(spark, _p(root, "outcomes"), schema)
+    record = _with_defaults(F.col("record")) if enriched else F.col("record")
     return o.where(F.col("outcome") == S.ADDED).select(
-        "app_id", "record", F.col("run").alias("batch_id"))
+        "app_id", record.alias("record"), F.col("run").alias("batch_id"))
+
+
+def _with_defaults(record):
+    """Runs without enrichment store no statistics fields: they get the base
+    table's defaults. Enriched records have no NULL in these fields."""
+    defaults = {name: default for name, _, default in S.BASE_COLUMNS}
+    fields = [F.col(f"record.{f.name}") for f in S.RECORD.fields]
+    for name, kind in S.STATS_FIELDS:
+        value = record[name]
+        fields.append(F.coalesce(value, F.lit(defaults[name]).cast(kind)).alias(name) if name in defaults
+                      else value.alias(name))
+    return F.struct(*fields)
 
 
 def _snapshots(spark: SparkSession, path: str) -> list[int]:
-    """Snapshot numbers under ``path`` (``upto=<n>`` folders); few, so collected."""
-    if path_exists(spark, path) is False:
-        return []
-    t = read_or_empty(spark, path, T.StructType([T.StructField("upto", T.LongType())]))
-    return sorted(int(r[0]) for r in t.select("upto").distinct().collect())
+    """Snapshot numbers under ``path`` (``upto=<n>`` folders)."""
+    return numbered_folders(spark, path, "upto")
+
+
+def seed_status(spark: SparkSession, root: str, status: DataFrame) -> None:
+    """Start a new catalog from existing sets ``(app_id, status)``, as ``id_set``
+    reads them: they count as known before run 1."""
+    sinks.write_parquet(status.select("app_id", "status").distinct(), _p(root, "status_snapshot", "upto=0"))
+
+
+def _forget_snapshots(spark: SparkSession, root: str, run: int) -> None:
+    """Drop the snapshots that hold run ``run``: it is about to be written again."""
+    for kind in ("status_snapshot", "merged_snapshot"):
+        for n in _snapshots(spark, _p(root, kind)):
+            if n >= run:
+                remove_folder(spark, _p(root, kind, f"upto={n}"))
 
 
 def status_as_of(spark: SparkSession, root: str, run: int | None = None) -> DataFrame:
@@ -109,9 +133,10 @@ def _snapshot_status(spark: SparkSession, root: str, r: int) -> None:
 
 
 def next_run(spark: SparkSession, root: str) -> int:
-    """One past the highest run in the status log (1 for a new folder)."""
-    last = status_log(spark, root).agg(F.max("run")).first()[0]
-    return int(last or 0) + 1
+    """One past the highest run written (1 for a new folder). Every run leaves its
+    folders, also one without outcomes or with failed ones alone."""
+    runs = numbered_folders(spark, _p(root, "outcomes"), "run")
+    return (runs[-1] if runs else 0) + 1
 
 
 def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFrame,
@@ -122,10 +147,13 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
 
     apps: ``(app_id)``; primary/stats: ``(app_id, body)``. ``stats=None``
     turns enrichment off; ``released`` skips apps known as not released.
+    ``seed_status`` gives a new folder the sets of an existing catalog. Writing a
+    run again drops the snapshots that hold it.
     Every ``compact_every`` runs (0 = never) the status sets are snapshotted,
     so no run reads more than that many runs of the outcome log.
     """
     run = next_run(spark, root) if run is None else run
+    _forget_snapshots(spark, root, run)
     # only earlier runs count: re-running run n sees what run n saw the first time
     status = status_as_of(spark, root, run)
     work = ingest.work_list(apps, status, released)

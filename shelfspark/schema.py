@@ -54,19 +54,20 @@ PRIMARY_BODY = T.MapType(S, APP_ENVELOPE, True)
 
 # --- raw secondary statistics payload ---------------------------------------
 # ``tags`` is an object or an empty list; it is parsed separately (see
-# functions.text.tags_map), so the field is kept as text here.
+# functions.text.tags_map), so the field is kept as text here. Numbers are text
+# as well: the feed has them as integers, floats or quoted.
 STATS_RAW = _struct(
     ("developer", S),
-    ("userscore", L),
+    ("userscore", S),
     ("score_rank", S),
-    ("positive", L),
-    ("negative", L),
+    ("positive", S),
+    ("negative", S),
     ("owners", S),
-    ("average_forever", L),
-    ("average_2weeks", L),
-    ("median_forever", L),
-    ("median_2weeks", L),
-    ("ccu", L),
+    ("average_forever", S),
+    ("average_2weeks", S),
+    ("median_forever", S),
+    ("median_2weeks", S),
+    ("ccu", S),
     ("tags", S),
 )
 

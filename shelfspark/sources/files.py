@@ -31,6 +31,21 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return None
 
 
+def numbered_folders(spark: SparkSession, path: str, column: str) -> list[int]:
+    """Numbers ``n`` of the ``<column>=<n>`` folders under ``path``, ascending (a
+    folder listing; no file is read)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}=*")
+    found = p.getFileSystem(conf).globStatus(p)
+    return sorted(int(f.getPath().getName().split("=", 1)[1]) for f in found or [])
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; a missing one is no error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   fmt: str = "parquet") -> DataFrame:
     """SRC2: read ``path``; a missing path is an empty table of ``schema``.

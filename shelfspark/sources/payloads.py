@@ -169,12 +169,13 @@ def landed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     plain columns.
     """
     import hashlib
+    import uuid
 
     from ..session import session_id, shared_path
     key = (session_id(spark), sf_dir)
     with _LANDING_LOCK:
         if key not in _LANDED:
-            tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+            tag = f"{hashlib.sha1(sf_dir.encode()).hexdigest()[:10]}-{uuid.uuid4().hex}"
             _LANDED[key] = land(spark, sf_dir, shared_path(spark, "landing", tag))
     root = _LANDED[key]
     return tuple(spark.read.parquet(f"{root}/{t}") for t in ("apps", "primary", "stats"))

@@ -56,22 +56,22 @@ def brute_top(rows, k):
     return sorted(best.items(), key=key)[:k]
 
 
-@pytest.mark.parametrize("seed,sample", [(1, 5), (2, 50), (3, 1000), (4, 12)])
-def test_top_k_distinct_matches_brute_force(spark, seed, sample):
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_top_k_distinct_matches_brute_force(spark, seed):
     rnd = random.Random(seed)
     rows = [(rnd.choice(["a", "b", "c", "d", "e", "f", "g", "h", "i", "j", "k", "l", None]),
              rnd.choice([None] + list(range(30))) if rnd.random() < 0.05 else rnd.randrange(30))
             for _ in range(400)]
     df = spark.createDataFrame(rows, "name string, v bigint")
-    got = [(r["name"], r["v"]) for r in top_k_distinct(df, "name", "v", 10, sample_rows=sample).collect()]
+    got = [(r["name"], r["v"]) for r in top_k_distinct(df, "name", "v", 10).collect()]
     assert got == brute_top(rows, 10)
 
 
 def test_top_k_distinct_hot_key(spark):
-    """One name holds most rows; the sample sees fewer than k names -> exact fallback."""
+    """One name holds most rows."""
     rows = [("hot", i) for i in range(1000)] + [(f"n{i}", i) for i in range(20)]
     df = spark.createDataFrame(rows, "name string, v bigint")
-    got = [(r["name"], r["v"]) for r in top_k_distinct(df, "name", "v", 10, sample_rows=100).collect()]
+    got = [(r["name"], r["v"]) for r in top_k_distinct(df, "name", "v", 10).collect()]
     assert got == brute_top(rows, 10)
 
 
@@ -99,14 +99,3 @@ def test_quartiles_with_nan(spark):
     got = nearest_rank_quantiles(df, "x", buckets=2).first()
     for g, e in zip([got["q0"], got["q1"], got["q2"]], expected):
         assert (math.isnan(g) and math.isnan(e)) or g == e
-
-
-def test_top_k_threshold_found_despite_hot_key(spark):
-    """The hot key fills the first sample; the second sample still finds k keys."""
-    from shelfspark.operators.topk import threshold
-    rows = [("hot", 1000 + i) for i in range(500)] + [(f"n{i}", i) for i in range(20)]
-    df = spark.createDataFrame(rows, "name string, v bigint")
-    t = spark.range(1).select(threshold(df, "name", "v", 10, 100).alias("t")).first()["t"]
-    assert t == 11  # hot (max 1499), then n19..n11: the 10th largest key max is 11
-    got = [(r["name"], r["v"]) for r in top_k_distinct(df, "name", "v", 10, sample_rows=100).collect()]
-    assert got == brute_top(rows, 10)

@@ -7,8 +7,9 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_check import compare, duck
+from shelfspark.plans import queries as own  # the training-data queries are tested in tests/llm
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(own.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,6 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    from shelfspark.plans import queries as own  # the training-data queries are tested in tests/llm
     assert set(own.ORACLE) == set(own.QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 

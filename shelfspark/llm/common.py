@@ -72,6 +72,11 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def counted(keys: DataFrame, most_broadcast: int = 1_000_000) -> DataFrame:
+    """A stored key table, marked for broadcast when its count proves it small."""
+    return F.broadcast(keys) if keys.count() <= most_broadcast else keys
+
+
 def filter_rows(docs: DataFrame, keep: Callable) -> DataFrame:
     """Rows for which ``keep(batch)`` (a boolean array per Arrow batch) holds,
     with all columns, in place: no join and no shuffle."""

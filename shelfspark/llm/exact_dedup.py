@@ -7,9 +7,10 @@ prefix hash). Full texts are hashed for the surviving rows alone; when those are
 too many to broadcast their ids, hashing every row in the scan is cheaper than
 shuffling texts, and the result is the same.
 
-Counts are aggregated in each task before the shuffle. A length or a text that
-a third of all rows share meets its group's row in a join whose skewed side
-adaptive execution splits.
+Counts are aggregated in each task before the shuffle, so a length or a text that
+a third of all rows share costs one row per task. The keys of the groups are
+broadcast where their count proves them small, so that rows stay where they are;
+beyond that both sides shuffle and adaptive execution splits a skewed side.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, drop_keys, register, stored, table
+from .common import ascii_lower, counted, drop_keys, register, stored, table
 
 
 def full_hash(text: Column) -> Column:
@@ -25,10 +26,10 @@ def full_hash(text: Column) -> Column:
     return F.sha2(ascii_lower(text).cast("binary"), 256)
 
 
-def _shared(rows: DataFrame, *keys: str) -> DataFrame:
+def _shared(rows: DataFrame, keys: list[str], most_broadcast: int) -> DataFrame:
     """Rows whose keys another row has too."""
     more = rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1).select(*keys)
-    return rows.join(more, list(keys), "left_semi")
+    return rows.join(counted(stored(more, "shared"), most_broadcast), keys, "left_semi")
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -43,7 +44,8 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.col(id_col).alias("id"),
         F.octet_length(F.coalesce(text, F.lit(""))).alias("len"),
         F.xxhash64(ascii_lower(F.substring(text, 1, prefix_chars))).alias("prefix")), "narrow")
-    survivors = stored(_shared(_shared(narrow, "len"), "len", "prefix").select("id").distinct(), "survivors")
+    same_length = _shared(narrow, ["len"], most_broadcast)
+    survivors = stored(_shared(same_length, ["len", "prefix"], most_broadcast).select("id").distinct(), "survivors")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     if survivors.count() <= most_broadcast:
         ids = F.broadcast(survivors.select(F.col("id").alias("sid")))
@@ -55,7 +57,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     hashed = stored(hashed, "hashed")
     groups = hashed.groupBy("text_sha256").agg(F.max("id").alias("keep_id"),
                                                F.count("*").alias("group_size")).where("group_size > 1")
-    return hashed.join(groups, "text_sha256")
+    return hashed.join(counted(stored(groups, "groups"), most_broadcast), "text_sha256")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -84,6 +84,8 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # words are kept below, once
         self.words = _Words(self.tokenizer.model, most_cached)
         self.chunks = _Chunks(self.tokenizer, most_cached // 5)
         # the text of an added token, where it occurs, is that token

@@ -140,7 +140,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # co-occurrence: only pairs with enough different texts can be reported
     n_docs = spans.count()
     pairs = stored(near.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("texts"),
-                                                      F.count_distinct("id", "text_key").alias("n_te"))
+                                                      F.count_distinct(F.struct("id", "text_key")).alias("n_te"))
                    .where(F.col("texts") >= least_texts), "pii-pairs")
     n_pairs = pairs.count()
     if n_pairs:

@@ -143,3 +143,12 @@ def test_revealing_terms(spark, make_docs):
     clean = docs.join(pii.find_personal_data(docs).select(F.col("id").alias("doc_id"), F.col("spans").alias("own")),
                       "doc_id").where("doc_id = 1").select(pii.sanitise(F.col("text"), F.col("own"))).first()[0]
     assert "zebraword" not in clean and "[EMAIL]" in clean and "Filler number 1" in clean
+
+
+def test_pii_counts_rows_without_id(spark, make_docs):
+    """Texts of rows without id count as occurrences of a term near an entity."""
+    rows = [(None, f"Mister Zworykin can be reached at a.b@example.org {w}") for w in ("now", "today", "soon")]
+    docs = make_docs(rows + [(i, f"plain words {i}") for i in range(40)])
+    found = pii.find_personal_data(docs).where("id IS NULL").collect()
+    assert len(found) == 3
+    assert all(any(s["kind"] == "term_removed" and s["start"] == 7 for s in r["spans"]) for r in found)

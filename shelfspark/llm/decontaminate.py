@@ -107,10 +107,35 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return low / (int(a[1].sum()) + int(b[1].sum()) - low)
 
 
-def search_text(h: np.ndarray, hits: np.ndarray, items: Items, threshold: float) -> list[tuple]:
+def _search_stretch(region, lo, hits, stretch, items, threshold, best) -> None:
+    """Enter the windows of ``region`` (which begins at ``lo``) into ``best``."""
+    sums = np.concatenate([np.zeros((1, BITS), np.int32),
+                           np.cumsum(signs(region), axis=0, dtype=np.int32)])
+    here = np.zeros(len(region) + 1, np.int64)
+    here[hits[(hits >= lo) & (hits < lo + len(region))] - lo + 1] = 1
+    here = np.cumsum(here)
+    for size, at in items.by_size.items():
+        span = size - items.width + 1  # shingles in a window of that many words
+        if span > len(region):
+            continue
+        start = np.flatnonzero(here[span:] - here[:-span] > 0)
+        start = start[start < stretch]
+        prints = pack_bits(sums[start + span] - sums[start])
+        for w, i in items.candidates(size, prints):
+            s = int(start[w])
+            sim = similarity(np.unique(region[s:s + span], return_counts=True), at["shingles"][i])
+            if sim >= threshold - 1e-12:
+                name, new = at["ids"][i], (sim, -(lo + s))
+                if name not in best or new > best[name][0]:
+                    best[name] = (new, size)
+
+
+def search_text(h: np.ndarray, hits: np.ndarray, items: Items, threshold: float,
+                stretch: int = 20_000) -> list[tuple]:
     """Best window per item in one text: ``(item_id, similarity, start, size)``.
 
-    ``h``: the text's shingles in order; ``hits``: places of item shingles."""
+    ``h``: the text's shingles in order; ``hits``: places of item shingles. Texts
+    are worked through ``stretch`` window starts at a time, to bound memory."""
     best: dict = {}
     if not len(hits):
         return []
@@ -118,25 +143,8 @@ def search_text(h: np.ndarray, hits: np.ndarray, items: Items, threshold: float)
     cuts = np.flatnonzero(np.diff(hits) > 2 * longest)
     for part in np.split(hits, cuts + 1):  # stretches no window reaches across
         lo, hi = max(0, int(part[0]) - longest), min(len(h), int(part[-1]) + longest)
-        region = h[lo:hi]
-        sums = np.concatenate([np.zeros((1, BITS), np.int32),
-                               np.cumsum(signs(region), axis=0, dtype=np.int32)])
-        here = np.zeros(len(region) + 1, np.int64)
-        here[part - lo + 1] = 1
-        here = np.cumsum(here)
-        for size, at in items.by_size.items():
-            span = size - items.width + 1  # shingles in a window of that many words
-            if span > len(region):
-                continue
-            start = np.flatnonzero(here[span:] - here[:-span] > 0)
-            prints = pack_bits(sums[start + span] - sums[start])
-            for w, i in items.candidates(size, prints):
-                s = int(start[w])
-                sim = similarity(np.unique(region[s:s + span], return_counts=True), at["shingles"][i])
-                if sim >= threshold - 1e-12:
-                    name, new = at["ids"][i], (sim, -(lo + s))
-                    if name not in best or new > best[name][0]:
-                        best[name] = (new, size)
+        for at in range(lo, hi, stretch):  # windows that start in [at, at + stretch)
+            _search_stretch(h[at:min(at + stretch + longest, hi)], at, part, stretch, items, threshold, best)
     return [(name, sim, -start, size) for name, ((sim, start), size) in best.items()]
 
 

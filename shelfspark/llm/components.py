@@ -5,14 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import counted, stored
 
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def _with_smallest(edges: DataFrame, hot_degree: int) -> DataFrame:
+    """``(u, v, m)``: each link with the smallest neighbour of ``u`` (stored edges).
+
+    The minima of hot nodes, at most ``rows / hot_degree`` of them, are joined
+    apart and broadcast where their count proves them few, so that a hub's links
+    stay spread over the tasks that read them.
+    """
+    low = stored(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "smallest")
+    hot = low.where(F.col("n") >= hot_degree).select("u", "m")
+    rest = low.where(F.col("n") < hot_degree).select("u", "m")
+    if hot.isEmpty():
+        return edges.join(rest, "u")
+    hot = counted(hot)
+    cold = edges.join(hot.select("u"), "u", "left_anti").join(rest, "u")
+    return cold.unionByName(edges.join(hot, "u"))
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 100, hot_degree: int = 1_000) -> DataFrame:
     """``(u, v)`` links -> ``(node, component)``: for every node in a link, the
     smallest node it can reach.
 
@@ -20,8 +37,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     then every smaller one (small star), until nothing changes; the number of
     rounds grows with the logarithm of the longest chain. The link table is
     written to the shared folder each round. Minima are pre-aggregated in each
-    task; a node with a great share of the links is a skewed join, which
-    adaptive execution splits.
+    task; nodes of ``hot_degree`` or more links are joined apart (``_with_smallest``).
     """
     links = stored(edges.where(F.col("u") != F.col("v"))
                    .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
@@ -29,12 +45,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     before = _state(links)
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where(F.col("u") != F.col("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(
+        large = stored(_with_smallest(both, hot_degree).where(F.col("v") > F.col("u"))
+                       .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+                       .where(F.col("u") != F.col("v")).distinct(), "stars")
+        small = (_with_smallest(large, hot_degree).select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                               F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.*").where(F.col("u") != F.col("v")).distinct())

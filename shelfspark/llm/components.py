@@ -12,21 +12,27 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _with_smallest(edges: DataFrame, hot_degree: int) -> DataFrame:
-    """``(u, v, m)``: each link with the smallest neighbour of ``u`` (stored edges).
+def spread_join(rows: DataFrame, keyed: DataFrame, key: str, hot_rows: int = 1_000, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``keyed``: stored, one row per key, and in ``n``
+    how many rows have the key.
 
-    The minima of hot nodes, at most ``rows / hot_degree`` of them, are joined
-    apart and broadcast where their count proves them few, so that a hub's links
-    stay spread over the tasks that read them.
+    Keys of ``hot_rows`` or more, at most a ``hot_rows``-th of the rows, are
+    joined apart and broadcast where their count proves them few, so that their
+    rows stay spread over the tasks that read them.
     """
-    low = stored(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "smallest")
-    hot = low.where(F.col("n") >= hot_degree).select("u", "m")
-    rest = low.where(F.col("n") < hot_degree).select("u", "m")
+    hot = keyed.where(F.col("n") >= hot_rows).drop("n")
+    rest = keyed.where(F.col("n") < hot_rows).drop("n")
     if hot.isEmpty():
-        return edges.join(rest, "u")
+        return rows.join(rest, key, how)
     hot = counted(hot)
-    cold = edges.join(hot.select("u"), "u", "left_anti").join(rest, "u")
-    return cold.unionByName(edges.join(hot, "u"))
+    cold = rows.join(hot.select(key), key, "left_anti").join(rest, key, how)
+    return cold.unionByName(rows.join(hot, key))
+
+
+def _with_smallest(edges: DataFrame, hot_degree: int) -> DataFrame:
+    """``(u, v, m)``: each link with the smallest neighbour of ``u`` (stored edges)."""
+    low = stored(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "smallest")
+    return spread_join(edges, low, "u", hot_degree)
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 100, hot_degree: int = 1_000) -> DataFrame:
@@ -37,7 +43,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 100, hot_degree: in
     then every smaller one (small star), until nothing changes; the number of
     rounds grows with the logarithm of the longest chain. The link table is
     written to the shared folder each round. Minima are pre-aggregated in each
-    task; nodes of ``hot_degree`` or more links are joined apart (``_with_smallest``).
+    task; nodes of ``hot_degree`` or more links are joined apart (``spread_join``).
     """
     links = stored(edges.where(F.col("u") != F.col("v"))
                    .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),

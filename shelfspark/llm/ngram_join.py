@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import shingles as S
 from .common import drop_keys, register, semi_join_ids, ship_code, stored, table
-from .components import connected_components
+from .components import connected_components, spread_join
 
 CLASS_SHIFT, HASH_BITS_CUT = 58, 6  # class (0..31) above 58 bits of hash
 LEAST_DF = 16  # words in fewer texts all count as rare
@@ -252,7 +252,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         _prefixes(width, percent, order),
         f"id {dict(texts.dtypes)['id']}, n long, node binary, grp binary, prefix array<long>"), "prefixes")
     sets = rows.where((F.col("n") > 0) & F.col("id").isNotNull())
-    nodes = stored(sets.groupBy("node").agg(F.first("grp").alias("grp"), F.min("id").alias("id")), "nodes")
+    nodes = stored(sets.groupBy("node").agg(
+        F.first("grp").alias("grp"), F.min("id").alias("id"), F.count("*").alias("rows")), "nodes")
 
     # step 2: groups of equal size and prefix, and their inverted lists
     groups = sets.groupBy("grp").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
@@ -281,7 +282,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .select((-F.abs(F.xxhash64("grp")) - 1).alias("cell"), "grp")  # tokens are not negative
 
     # step 4: expand to nodes, deal out in blocks, verify
-    members = stored(cells.unionByName(own).join(nodes, "grp").select("cell", "node", "id"), "members")
+    members = stored(cells.unionByName(own).join(nodes.drop("rows"), "grp").select("cell", "node", "id"),
+                     "members")
     count = members.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = (members.join(count, "cell").select("cell", "node", mine.alias("b"), "blocks")
@@ -293,15 +295,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .select("cell", "i", "j", "node", "tokens")
              .mapInArrow(_verify(percent), "u binary, v binary"))
 
-    # step 5: components of nodes, then the smallest id of each
+    # step 5: components of nodes, then the smallest id of each, for nodes and for rows
     labels = connected_components(links)
-    named = rows.select("id", "n", "node").join(labels, "node", "left").select(
-        "id", "n", F.coalesce("component", "node").alias("label"))
-    smallest = named.where(F.col("n") > 0).groupBy("label").agg(F.min("id").alias("low"))
-    return named.join(smallest, "label", "left").select(
-        "id", F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("id")))
-        .alias("component_id"))
+    named = stored(nodes.join(labels, "node", "left").select(
+        "node", "id", "rows", F.coalesce("component", "node").alias("label")), "named")
+    smallest = stored(named.groupBy("label").agg(F.min("id").alias("low"), F.count("*").alias("n")), "smallest")
+    found = stored(spread_join(named.select("node", "rows", "label"), smallest, "label")
+                   .select("node", "low", F.col("rows").alias("n")), "found")
+    out = spread_join(rows.select("id", F.col("n").alias("n_shingles"), "node"), found, "node", how="left")
+    return out.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("low", "id"))
+                      .alias("component_id"))
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

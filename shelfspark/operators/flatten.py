@@ -3,7 +3,8 @@
 Each record is parsed as ``map<string,string>``: unlike a struct, a map tells
 a missing key (default applies) from a key holding JSON ``null`` (stays
 NULL). List fields are parsed from their JSON text and joined with ', '; a
-NULL list counts as empty.
+NULL list counts as empty. A record that is not a JSON object raises with its
+app: it would otherwise become a row of defaults that every report counts.
 """
 
 from __future__ import annotations
@@ -30,7 +31,10 @@ def _field(m: Column, name: str, dtype: T.DataType, default) -> Column:
 
 def flatten_records(df: DataFrame, record: str = "record", app_id: str = "app_id") -> DataFrame:
     """``(app_id, record JSON text)`` -> base table with the fixed schema."""
-    m = F.from_json(F.col(record), "map<string,string>")
+    parsed = F.from_json(F.col(record), "map<string,string>")
+    m = F.when(parsed.isNull(), F.raise_error(F.concat(
+        F.lit("not a JSON object: record of app "), F.coalesce(F.col(app_id).cast("string"), F.lit("NULL"))))
+        .cast("map<string,string>")).otherwise(parsed)
     cols = [F.col(app_id).cast("string").alias("app_id")]
     for name, dtype, default in S.BASE_COLUMNS[1:]:
         cols.append(_field(F.col("_m"), name, dtype, default).alias(name))

@@ -150,21 +150,18 @@ def classify_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(out.select("app_id", "outcome", *_enriched_columns()))
 
 
-@register("enrich_left_join", _with_cls(r"""
-SELECT app_id,
-  CASE WHEN sv THEN metacritic_score ELSE 0 END AS user_score,
-  CASE WHEN sv THEN positive ELSE 0 END AS positive,
-  CASE WHEN sv AND estimated_owners <> '' THEN estimated_owners ELSE '0 - 0' END AS estimated_owners,
-  CASE WHEN sv THEN peak_ccu ELSE 0 END AS peak_ccu,
-  CASE WHEN sv AND k % 2 = 0 THEN 2 ELSE 0 END AS tag_count
-FROM cls"""))
+_JOINED = [n for n, _ in _ENRICHED_FIELDS if n not in ("name", "price")]
+
+
+@register("enrich_left_join", _with_cls("SELECT app_id, 'app ' || app_id AS name" + "".join(
+    f",\n  {e} AS {n}" for n, e in _ENRICHED_FIELDS if n in _JOINED) + "\nFROM cls"))
 def enrich_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN1 alone: every app's name record left-joined with the stats feed."""
     apps, _, stats = payloads.landed(spark, sf_dir)
-    recs = apps.select("app_id", F.struct(F.lit("x").alias("name")).alias("record"))
+    recs = apps.select("app_id", F.struct(F.concat(F.lit("app "), "app_id").alias("name")).alias("record"))
     e = ingest.enrich(recs, ingest.parse_stats(stats))
-    return e.select("app_id", "record.user_score", "record.positive", "record.estimated_owners",
-                    "record.peak_ccu", X.size_or_null("record.tags").alias("tag_count"))
+    tags = X.size_or_null("record.tags").alias("tag_count")
+    return e.select("app_id", "record.name", *[f"record.{n}" for n in _JOINED if n != "tag_count"], tags)
 
 
 @register("run_summary", _with_cls(r"""

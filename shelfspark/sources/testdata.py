@@ -28,6 +28,7 @@ WITH li AS (
 SELECT cast(p_partkey AS string) AS app_id,
   p_name || CASE WHEN p_partkey % 5 = 0 THEN '' ELSE ' ' || cast(p_partkey AS string) END AS name,
   CASE WHEN p_partkey % 17 = 0 THEN ''
+       WHEN o_orderdate IS NULL THEN ''
        WHEN p_partkey % 13 = 0 THEN cast(year(o_orderdate) AS string) || '-01-01'
        ELSE substr('JanFebMarAprMayJunJulAugSepOctNovDec', cast(3*(month(o_orderdate)-1)+1 AS int), 3)
             || ' ' || cast(day(o_orderdate) AS string) || ', ' || cast(year(o_orderdate) AS string) END AS release_date,
@@ -40,7 +41,7 @@ SELECT cast(p_partkey AS string) AS app_id,
   n1.n_name || CASE WHEN p_size % 2 = 0 THEN ', ' || n2.n_name ELSE '' END AS supported_languages,
   n1.n_name AS full_audio_languages,
   CASE WHEN p_partkey % 29 = 0 THEN '' ELSE p_brand || CASE p_size % 4 WHEN 0 THEN ', Inc.' WHEN 1 THEN '; ' || n1.n_name ELSE '' END END AS developers,
-  p_brand AS publishers, o_orderpriority AS categories,
+  p_brand AS publishers, coalesce(o_orderpriority, '') AS categories,
   CASE WHEN p_partkey % 31 = 0 THEN '' ELSE p_type || CASE WHEN p_size % 3 = 0 THEN ', ' || r_name ELSE '' END END AS genres,
   cast(0 AS bigint) AS user_score, '' AS score_rank,
   cast(coalesce(n_cnt, 0) AS bigint) AS positive,
@@ -51,7 +52,7 @@ SELECT cast(p_partkey AS string) AS app_id,
   cast(coalesce(wqty, 0) AS bigint) AS peak_ccu
 FROM {part}
 LEFT JOIN li ON l_partkey = p_partkey
-JOIN {orders} ON o_orderkey = p_partkey
+LEFT JOIN {orders} ON o_orderkey = p_partkey
 JOIN {nation} n1 ON n1.n_nationkey = p_partkey % 25
 JOIN {nation} n2 ON n2.n_nationkey = p_size % 25
 JOIN {region} ON r_regionkey = n1.n_regionkey

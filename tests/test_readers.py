@@ -59,3 +59,12 @@ def test_scalars_without_sql_type_become_text(spark):
     out = sql_ready(row)
     assert dict(out.dtypes) == {"d": "string", "a": "string", "n": "int"}
     assert out.first()["a"] == "[1]"
+
+
+def test_record_that_is_no_object_raises(spark):
+    """Neither junk nor a missing record becomes a row of defaults."""
+    from shelfspark.operators.flatten import flatten_records
+    for junk in ('{"name": "cut o', "[1]", "null", None):
+        recs = spark.createDataFrame([("1", '{"name": "a"}'), ("2", junk)], "app_id string, record string")
+        with pytest.raises(Exception, match="record of app 2"):
+            flatten_records(recs).collect()

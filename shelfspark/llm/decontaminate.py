@@ -10,7 +10,8 @@ over the sum of the larger counts of each shingle.
 
 A window that shares no shingle with any item has similarity 0, so only windows
 around a shared shingle are fingerprinted; nothing that could be reported is
-left out by that. Two texts of similarity 0.8 differ in 19 of 128 bits on
+left out by that. A text shorter than an item (the item with words dropped) is
+its one window for that item. Two texts of similarity 0.8 differ in 19 of 128 bits on
 average (standard deviation 4), so the radius of 31 misses about 2 in 1000 at
 the threshold itself and fewer above it.
 """
@@ -107,8 +108,9 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return low / (int(a[1].sum()) + int(b[1].sum()) - low)
 
 
-def _search_stretch(region, lo, hits, stretch, items, threshold, best) -> None:
-    """Enter the windows of ``region`` (which begins at ``lo``) into ``best``."""
+def _search_stretch(region, lo, hits, stretch, items, threshold, best, whole) -> None:
+    """Enter the windows of ``region`` (which begins at ``lo``) into ``best``;
+    ``whole``: it is all of its text, so the one window of items longer than it."""
     sums = np.concatenate([np.zeros((1, BITS), np.int32),
                            np.cumsum(signs(region), axis=0, dtype=np.int32)])
     here = np.zeros(len(region) + 1, np.int64)
@@ -117,7 +119,10 @@ def _search_stretch(region, lo, hits, stretch, items, threshold, best) -> None:
     for size, at in items.by_size.items():
         span = size - items.width + 1  # shingles in a window of that many words
         if span > len(region):
-            continue
+            # fewer shingles than the threshold's share of the item's cannot reach it
+            if not whole or len(region) < (threshold - 1e-12) * span:
+                continue
+            span = len(region)
         start = np.flatnonzero(here[span:] - here[:-span] > 0)
         start = start[start < stretch]
         prints = pack_bits(sums[start + span] - sums[start])
@@ -127,7 +132,7 @@ def _search_stretch(region, lo, hits, stretch, items, threshold, best) -> None:
             if sim >= threshold - 1e-12:
                 name, new = at["ids"][i], (sim, -(lo + s))
                 if name not in best or new > best[name][0]:
-                    best[name] = (new, size)
+                    best[name] = (new, span + items.width - 1)
 
 
 def search_text(h: np.ndarray, hits: np.ndarray, items: Items, threshold: float,
@@ -144,7 +149,8 @@ def search_text(h: np.ndarray, hits: np.ndarray, items: Items, threshold: float,
     for part in np.split(hits, cuts + 1):  # stretches no window reaches across
         lo, hi = max(0, int(part[0]) - longest), min(len(h), int(part[-1]) + longest)
         for at in range(lo, hi, stretch):  # windows that start in [at, at + stretch)
-            _search_stretch(h[at:min(at + stretch + longest, hi)], at, part, stretch, items, threshold, best)
+            region = h[at:min(at + stretch + longest, hi)]
+            _search_stretch(region, at, part, stretch, items, threshold, best, len(region) == len(h))
     return [(name, sim, -start, size) for name, ((sim, start), size) in best.items()]
 
 
@@ -187,7 +193,8 @@ def _item_blocks(benchmark: DataFrame, width: int, block_items: int):
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  width: int = 5, threshold: float = 0.8, block_items: int = 5_000) -> DataFrame:
     """``(id, item_id, similarity, start_word, n_words)``: per document and
-    benchmark item found in it, the most similar window (first of equals).
+    benchmark item found in it, the most similar window (first of equals). A
+    document of fewer words than the item is one window, of all its words.
 
     Words are runs of letters and digits, ASCII lower-cased. Items of fewer than
     ``width`` words or without text are not searched: they say too little to

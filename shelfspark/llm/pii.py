@@ -7,7 +7,8 @@ whole corpus as PMI(t, e) / IC(e), with PMI = log(N * n(t,e) / (n(t) * n(e))) an
 IC = log(N / n(e)), n being numbers of documents. A word that always comes with
 the entity scores 1. Words that stand near the same entity in at least
 ``least_texts`` different texts and score ``remove_at`` or more are removed,
-those from ``generalise_at`` on are generalised to a placeholder.
+those from ``generalise_at`` on are generalised to a placeholder, wherever they
+occur in any text.
 
 DataFrame functions only. Spans come from splitting the text at the matches and
 adding up lengths, so they count code points. Expressions are possessive and
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPANS, register, span_digest, stored, table
+from .common import SPANS, register, semi_join_ids, span_digest, stored, table
 
 # Kinds and their expressions; each begins where its first run of
 # characters begins or where the last match ended.
@@ -37,23 +38,29 @@ TERM = r"[\p{L}]{4,}+"
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]",
                 "term_removed": "", "term_generalised": "[TERM]"}
 
+PIECE = 256
 MATCH = "array<struct<start:long,end:long,value:string>>"
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """All matches with their places (code points, end exclusive)."""
+    """All matches with their places (code points, end exclusive).
+
+    Gathered ``PIECE`` at a time, so that appending stays linear in the text."""
     parts = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     steps = F.zip_with(parts, values, lambda p, v: F.struct(F.length(p).alias("gap"), v.alias("value")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(MATCH).alias("out"))
+    empty = F.array().cast(MATCH)
+    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"), F.array().cast(f"array<{MATCH}>").alias("full"))
 
     def add(acc, x):
         a = acc["at"] + x["gap"]
         b = a + F.coalesce(F.length(x["value"]), F.lit(0))
         one = F.array(F.struct(a.alias("start"), b.alias("end"), x["value"].alias("value")))
-        return F.struct(b.alias("at"), F.when(x["value"].isNull(), acc["out"])
-                        .otherwise(F.concat(acc["out"], one)).alias("out"))
-    return F.aggregate(steps, start, add, lambda acc: acc["out"])
+        full = F.size(acc["out"]) >= PIECE
+        out = F.when(full, empty).otherwise(acc["out"])
+        return F.struct(b.alias("at"), F.when(x["value"].isNull(), out).otherwise(F.concat(out, one)).alias("out"),
+                        F.when(full, F.concat(acc["full"], F.array(acc["out"]))).otherwise(acc["full"]).alias("full"))
+    return F.aggregate(steps, start, add, lambda acc: F.flatten(F.concat(acc["full"], F.array(acc["out"]))))
 
 
 def _digits(value: Column) -> Column:
@@ -96,6 +103,44 @@ def entity_spans(text: Column) -> Column:
     return F.concat(*[named(k) for k in BASE_KINDS])
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces for all characters of the spans: places stay."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def add(acc, s):
+        piece = F.substring(text, (acc["at"] + 1).cast("int"),
+                            F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        blank = F.repeat(F.lit(" "), (s["end"] - F.greatest(s["start"], acc["at"])).cast("int"))
+        return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), F.concat(acc["out"], piece, blank).alias("out"))
+    tail = lambda acc: F.concat(acc["out"], F.substring(
+        text, (acc["at"] + 1).cast("int"), F.length(text)))
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(ordered, begin, add, tail))
+
+
+def _term(value: Column) -> Column:
+    return F.xxhash64(F.lower(value))
+
+
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), _term))
+
+
+def _marked(plain: DataFrame, terms: DataFrame, most_broadcast: int) -> DataFrame:
+    """``(id, text_key, own)``: all places of ``terms`` (term, kind) in the texts of
+    ``plain`` (id, text_key, text). Places are worked out for texts that hold one."""
+    if terms.count() <= most_broadcast:
+        terms = F.broadcast(terms)
+    holding = stored(plain.select("text_key", F.explode(_terms(F.col("text"))).alias("term"))
+                     .join(terms, "term", "left_semi").select("text_key").distinct(), "pii-holding")
+    return semi_join_ids(plain, holding, "text_key") \
+        .select("id", "text_key", F.explode(matches(F.col("text"), TERM)).alias("m")) \
+        .select("id", "text_key", _term(F.col("m.value")).alias("term"), "m.start", "m.end") \
+        .join(terms, "term").select("id", "text_key", "kind", "start", "end").distinct() \
+        .groupBy("id", "text_key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("own"))
+
+
 def _near(side: str, window: int) -> Column:
     """Terms wholly inside ``window`` code points before or after the entity."""
     text, n = F.col("text"), F.length("text")
@@ -107,7 +152,7 @@ def _near(side: str, window: int) -> Column:
     cut = matches(piece, TERM)
     whole = F.filter(cut, lambda m: ((m["start"] > 0) | (lo == (F.lit(0) if side == "before" else F.col("end"))))
                      & ((m["end"] < hi - lo) | (hi == (F.col("start") if side == "before" else n))))
-    return F.transform(whole, lambda m: F.struct(F.lower(m["value"]).alias("term"),
+    return F.transform(whole, lambda m: F.struct(_term(m["value"]).alias("term"),
                                                  (m["start"] + lo).alias("start"), (m["end"] + lo).alias("end")))
 
 
@@ -117,8 +162,9 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per input row: ``(id, text_key, spans)``.
 
     ``text_key`` is a hash of the text, to tell rows apart that repeat an id.
-    Spans are ``(kind, start, end)`` of the base kinds and of revealing terms
-    (which may not overlap a base span). Values are kept as hashes in all stored
+    Spans are ``(kind, start, end)`` of the base kinds and of all occurrences of
+    revealing terms in all texts (which may not overlap a base span); a term that
+    reveals several entities is of the kind of its highest score. Values are kept as hashes in all stored
     tables. NULL and empty texts have no spans; rows with a NULL id take part
     in the counts like any other; repeated rows each get their spans.
     """
@@ -148,8 +194,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         n_e = spans.select(F.explode("entities").alias("entity")) \
             .join(wanted, "entity", "left_semi").groupBy("entity").agg(F.count("*").alias("n_e"))
         terms = pairs.select("term").distinct()
-        words = rows.select(F.explode(F.array_distinct(
-            F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
+        words = rows.select(F.explode(_terms(F.col("text"))).alias("term"))
         if n_pairs <= most_broadcast:  # then only words of interest leave the scan
             n_t = words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
         else:
@@ -160,11 +205,10 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         disclosure = F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0))
         revealing = pairs.join(n_e, "entity").join(n_t, "term").withColumn("disclosure", disclosure) \
             .where(F.col("disclosure") >= generalise_at) \
-            .select("entity", "term", F.when(F.col("disclosure") >= remove_at, F.lit(OWN_KINDS[0]))
-                    .otherwise(F.lit(OWN_KINDS[1])).alias("kind"))
-        own = near.join(revealing, ["entity", "term"]) \
-            .groupBy("id", "text_key", "start", "end").agg(F.max("kind").alias("kind")) \
-            .groupBy("id", "text_key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("own"))
+            .groupBy("term").agg(F.when(F.max("disclosure") >= remove_at, F.lit(OWN_KINDS[0]))
+                                 .otherwise(F.lit(OWN_KINDS[1])).alias("kind"))
+        plain = keyed.select("id", "text_key", _blanked(F.col("text"), F.col("e")).alias("text"))
+        own = _marked(plain, stored(revealing, "pii-terms"), most_broadcast)
         spans = spans.join(own.withColumnsRenamed({"id": "id_o", "text_key": "key_o"}),
                            F.col("id").eqNullSafe(F.col("id_o")) & (F.col("text_key") == F.col("key_o")), "left")
         spans = spans.withColumn("spans", F.concat("spans", F.coalesce("own", F.array().cast(SPANS))))

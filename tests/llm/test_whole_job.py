@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from shelfspark.llm import decontaminate as D
+from shelfspark.llm import pii as P
 
 
 def test_items_with_words_dropped_are_found(spark, make_docs):
@@ -19,3 +22,30 @@ def test_items_with_words_dropped_are_found(spark, make_docs):
     assert got == {1: (9, round(25 / 26, 6), 0, 29), 2: (9, round(24 / 26, 6), 0, 28), 3: (9, 1.0, 0, 30),
                    8: (9, round(24 / 27, 6), 0, 29)}
     assert {r.doc_id for r in D.drop_contaminated(docs, bench).collect()} == {4, 5, 6, 7}
+
+
+def _own(docs, **kw):
+    """Per id the terms marked, each ``(start, word, kind)``, by start."""
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    return {r.id: [(s.start, texts[r.id][s.start:s.end], s.kind) for s in sorted(r.spans, key=lambda s: s.start)
+                   if s.kind.startswith("term_")] for r in P.find_personal_data(docs, **kw).collect()}
+
+
+def test_revealing_terms_are_marked_wherever_they_stand(spark, make_docs):
+    """Far from the address, and in a text without one, at any length of text."""
+    far = "plain words here " * 30
+    rows = [(i, f"Zworykin a.b@example.org {far}{i} Zworykin, zworykin-Zworykin") for i in range(6)]
+    rows += [(20, f"{far} ask Zworykin"), (21, "Zworykins ask")] + [(30 + i, f"{far} {i}") for i in range(400)]
+    got = _own(make_docs(rows))
+    for i, text in rows:
+        want = [m.start() for m in re.finditer(r"(?i)\bzworykin\b", text)]
+        assert [s for s, w, k in got[i] if w.lower() == "zworykin" and k == "term_removed"] == want, i
+    assert len(got[0]) >= 4 and got[20] and not got[21] and not got[30]
+
+
+def test_places_of_many_matches(spark):
+    """Places are right beyond one piece of the list, whatever the characters."""
+    text = "é\U0001F600 abcd  " * 700 + "tail"
+    df = spark.createDataFrame([(text,)], "t string")
+    got = [(m.start, m.end, m.value) for m in df.select(P.matches(df.t, "[a-z]{4}")).first()[0]]
+    assert got == [(m.start(), m.end(), m[0]) for m in re.finditer("[a-z]{4}", text)]

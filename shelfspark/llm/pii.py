@@ -1,12 +1,12 @@
 """Personal data: pattern spans, then information-theoretic sanitisation.
 
 Entities (e-mail addresses, IP addresses, card and phone numbers) are found by
-expressions and checks. Words near an entity may give it away as well: how
-strongly a word t reveals an entity e is estimated from co-occurrence over the
+expressions and checks. Words (runs of letters, marks and digits of any length,
+outside entities) may give an entity away as well: how strongly a word t reveals an entity e is estimated from co-occurrence over the
 whole corpus as PMI(t, e) / IC(e), with PMI = log(N * n(t,e) / (n(t) * n(e))) and
-IC = log(N / n(e)), n being numbers of documents. A word that always comes with
-the entity scores 1. Words that stand near the same entity in at least
-``least_texts`` different texts and score ``remove_at`` or more are removed,
+IC = log(N / n(e)), n being numbers of whole documents that hold the word, the
+entity or both. A word that always comes with the entity scores 1. Words that
+come with the same entity in at least ``least_texts`` different texts and score ``remove_at`` or more are removed,
 those from ``generalise_at`` on are generalised to a placeholder, wherever they
 occur in any text.
 
@@ -17,10 +17,12 @@ anchored to the run they begin in, so their time is linear in the text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPANS, register, semi_join_ids, span_digest, stored, table
+from .common import SPANS, counted, register, semi_join_ids, span_digest, stored, table
 
 # Kinds and their expressions; each begins where its first run of
 # characters begins or where the last match ended.
@@ -34,33 +36,28 @@ PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 IP_VALID = rf"^{PART}(?:\.{PART}){{3}}$"
 # what a text must hold for the kind to be looked for at all
 HINTS = {"ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}"}
-TERM = r"[\p{L}]{4,}+"
+TERM = r"[\p{L}\p{M}\p{N}]++"
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]",
                 "term_removed": "", "term_generalised": "[TERM]"}
 
-PIECE = 256
+BUCKETS = 1 << 16
 MATCH = "array<struct<start:long,end:long,value:string>>"
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """All matches with their places (code points, end exclusive).
-
-    Gathered ``PIECE`` at a time, so that appending stays linear in the text."""
+def matches(text: Column, pattern: str, keep: Callable[[Column], Column] | None = None) -> Column:
+    """All matches (whose value ``keep`` holds for) with their places (code points, end exclusive)."""
     parts = F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     steps = F.zip_with(parts, values, lambda p, v: F.struct(F.length(p).alias("gap"), v.alias("value")))
-    empty = F.array().cast(MATCH)
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out"), F.array().cast(f"array<{MATCH}>").alias("full"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(MATCH).alias("out"))
 
     def add(acc, x):
         a = acc["at"] + x["gap"]
         b = a + F.coalesce(F.length(x["value"]), F.lit(0))
         one = F.array(F.struct(a.alias("start"), b.alias("end"), x["value"].alias("value")))
-        full = F.size(acc["out"]) >= PIECE
-        out = F.when(full, empty).otherwise(acc["out"])
-        return F.struct(b.alias("at"), F.when(x["value"].isNull(), out).otherwise(F.concat(out, one)).alias("out"),
-                        F.when(full, F.concat(acc["full"], F.array(acc["out"]))).otherwise(acc["full"]).alias("full"))
-    return F.aggregate(steps, start, add, lambda acc: F.flatten(F.concat(acc["full"], F.array(acc["out"]))))
+        kept = x["value"].isNotNull() if keep is None else x["value"].isNotNull() & keep(x["value"])
+        return F.struct(b.alias("at"), F.when(kept, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+    return F.aggregate(steps, start, add, lambda acc: acc["out"])
 
 
 def _digits(value: Column) -> Column:
@@ -129,35 +126,21 @@ def _terms(text: Column) -> Column:
 
 def _marked(plain: DataFrame, terms: DataFrame, most_broadcast: int) -> DataFrame:
     """``(id, text_key, own)``: all places of ``terms`` (term, kind) in the texts of
-    ``plain`` (id, text_key, text). Places are worked out for texts that hold one."""
-    if terms.count() <= most_broadcast:
-        terms = F.broadcast(terms)
-    holding = stored(plain.select("text_key", F.explode(_terms(F.col("text"))).alias("term"))
-                     .join(terms, "term", "left_semi").select("text_key").distinct(), "pii-holding")
-    return semi_join_ids(plain, holding, "text_key") \
-        .select("id", "text_key", F.explode(matches(F.col("text"), TERM)).alias("m")) \
+    ``plain`` (id, text_key, text). Places are listed for words in a bucket of some
+    term, which affects speed only; the join on the term decides."""
+    bucket = lambda term: F.pmod(term, F.lit(BUCKETS)).cast("int")
+    full = bytearray(BUCKETS)
+    for r in terms.select(bucket(F.col("term")).alias("b")).distinct().collect():
+        full[r["b"]] = 1
+    held = lambda v: F.substring(F.lit(full), bucket(_term(v)) + 1, F.lit(1)) == F.lit(bytearray(b"\x01"))
+    return plain.select("id", "text_key", F.explode(matches(F.col("text"), TERM, held)).alias("m")) \
         .select("id", "text_key", _term(F.col("m.value")).alias("term"), "m.start", "m.end") \
-        .join(terms, "term").select("id", "text_key", "kind", "start", "end").distinct() \
+        .join(counted(terms, most_broadcast), "term").select("id", "text_key", "kind", "start", "end").distinct() \
         .groupBy("id", "text_key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("own"))
 
 
-def _near(side: str, window: int) -> Column:
-    """Terms wholly inside ``window`` code points before or after the entity."""
-    text, n = F.col("text"), F.length("text")
-    if side == "before":
-        lo, hi = F.greatest(F.col("start") - window, F.lit(0)), F.col("start")
-    else:
-        lo, hi = F.col("end"), F.least(F.col("end") + window, n)
-    piece = F.substring(text, (lo + 1).cast("int"), (hi - lo).cast("int"))
-    cut = matches(piece, TERM)
-    whole = F.filter(cut, lambda m: ((m["start"] > 0) | (lo == (F.lit(0) if side == "before" else F.col("end"))))
-                     & ((m["end"] < hi - lo) | (hi == (F.col("start") if side == "before" else n))))
-    return F.transform(whole, lambda m: F.struct(_term(m["value"]).alias("term"),
-                                                 (m["start"] + lo).alias("start"), (m["end"] + lo).alias("end")))
-
-
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 60,
-                       least_texts: int = 2, generalise_at: float = 0.7, remove_at: float = 0.95,
+def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_texts: int = 2,
+                       generalise_at: float = 0.7, remove_at: float = 0.95,
                        most_broadcast: int = 100_000) -> DataFrame:
     """One row per input row: ``(id, text_key, spans)``.
 
@@ -170,45 +153,49 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = rows.select("id", F.xxhash64("text").alias("text_key"), "text", entity_spans(F.col("text")).alias("e"))
-    contexts = keyed.where(F.size("e") > 0).select("id", "text_key", "text", "e", F.explode("e").alias("s")) \
-        .select("id", "text_key", "text", "e", F.xxhash64("s.kind", F.lower("s.value")).alias("entity"),
-                F.col("s.start").alias("start"), F.col("s.end").alias("end"))
-    near = contexts.select("id", "text_key", "entity", "e",
-                           F.explode(F.concat(_near("before", window), _near("after", window))).alias("t")) \
-        .where(~F.exists("e", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start")))) \
-        .select("id", "text_key", "entity", "t.*")
+    plain = keyed.select("id", "text_key", "e", _blanked(F.col("text"), F.col("e")).alias("text"))
     spans = stored(keyed.select("id", "text_key", F.transform("e", lambda s: F.struct(
-        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"),
-        F.array_distinct(F.transform("e", lambda s: F.xxhash64(s["kind"], F.lower(s["value"])))).alias("entities")),
-        "pii-spans")
-    near = stored(near, "pii-near")
-
-    # co-occurrence: only pairs with enough different texts can be reported
+        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans")), "pii-spans")
+    held = stored(plain.where(F.size("e") > 0).select("text_key", F.array_distinct(F.transform(
+        "e", lambda s: F.xxhash64(s["kind"], F.lower(s["value"])))).alias("entities"),
+        _terms(F.col("text")).alias("terms")), "pii-held")
+
+    # Co-occurrence in whole texts. Only entities and terms of enough different
+    # texts can be reported, and as n(t,e) <= n(e) a score of generalise_at needs
+    # n(t) <= N^(1 - generalise_at) * n(e)^generalise_at: all else is left out
+    # before pairs are formed.
     n_docs = spans.count()
-    pairs = stored(near.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("texts"),
-                                                      F.count_distinct(F.struct("id", "text_key")).alias("n_te"))
-                   .where(F.col("texts") >= least_texts), "pii-pairs")
-    n_pairs = pairs.count()
-    if n_pairs:
-        wanted = pairs.select("entity").distinct()
-        n_e = spans.select(F.explode("entities").alias("entity")) \
-            .join(wanted, "entity", "left_semi").groupBy("entity").agg(F.count("*").alias("n_e"))
-        terms = pairs.select("term").distinct()
-        words = rows.select(F.explode(_terms(F.col("text"))).alias("term"))
-        if n_pairs <= most_broadcast:  # then only words of interest leave the scan
-            n_t = words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    of = stored(held.select("text_key", F.explode("entities").alias("entity"))
+                .groupBy("text_key", "entity").agg(F.count("*").alias("m")), "pii-of")
+    most = F.pow(F.lit(float(n_docs)), F.lit(1 - generalise_at)) * F.pow("n_e", F.lit(generalise_at)) * (1 + 1e-9)
+    entities = stored(of.groupBy("entity").agg(F.count("*").alias("texts"), F.sum("m").alias("n_e"))
+                      .where((F.col("texts") >= least_texts) & (F.col("n_e") < n_docs))
+                      .select("entity", "n_e", most.alias("most")), "pii-entities")
+    most_common = entities.agg(F.max("most")).first()[0]
+    if most_common is not None:
+        of = stored(of.join(counted(entities, most_broadcast), "entity"), "pii-of")
+        texts = semi_join_ids(held, stored(of.select("text_key").distinct(), "pii-texts"), "text_key") \
+            .select("text_key", F.explode("terms").alias("term"))
+        support = stored(texts.distinct().groupBy("term").count().where(F.col("count") >= least_texts)
+                         .select("term"), "pii-support")
+        words = plain.select(F.explode(_terms(F.col("text"))).alias("term"))
+        if support.count() <= most_broadcast:  # then only words of interest leave the scan
+            n_t = words.join(F.broadcast(support), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
         else:
-            n_t = words.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term", "left_semi")
+            n_t = words.groupBy("term").agg(F.count("*").alias("n_t")).join(support, "term", "left_semi")
+        n_t = stored(n_t.where(F.col("n_t") <= most_common), "pii-words")
+        pairs = texts.join(counted(n_t, most_broadcast), "term").distinct().join(of, "text_key") \
+            .where(F.col("n_t") <= F.col("most")).groupBy("entity", "term") \
+            .agg(F.count("*").alias("texts"), F.sum("m").alias("n_te"), F.max("n_t").alias("n_t"),
+                 F.max("n_e").alias("n_e")).where(F.col("texts") >= least_texts)
         n = F.lit(float(n_docs))
         ic = F.log(n / F.col("n_e"))
         pmi = F.log(n * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-        disclosure = F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0))
-        revealing = pairs.join(n_e, "entity").join(n_t, "term").withColumn("disclosure", disclosure) \
+        revealing = pairs.withColumn("disclosure", pmi / ic) \
             .where(F.col("disclosure") >= generalise_at) \
             .groupBy("term").agg(F.when(F.max("disclosure") >= remove_at, F.lit(OWN_KINDS[0]))
                                  .otherwise(F.lit(OWN_KINDS[1])).alias("kind"))
-        plain = keyed.select("id", "text_key", _blanked(F.col("text"), F.col("e")).alias("text"))
-        own = _marked(plain, stored(revealing, "pii-terms"), most_broadcast)
+        own = _marked(plain.select("id", "text_key", "text"), stored(revealing, "pii-terms"), most_broadcast)
         spans = spans.join(own.withColumnsRenamed({"id": "id_o", "text_key": "key_o"}),
                            F.col("id").eqNullSafe(F.col("id_o")) & (F.col("text_key") == F.col("key_o")), "left")
         spans = spans.withColumn("spans", F.concat("spans", F.coalesce("own", F.array().cast(SPANS))))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import random
 import re
+from collections import Counter, defaultdict
 
 from shelfspark.llm import decontaminate as D
 from shelfspark.llm import pii as P
@@ -43,9 +46,34 @@ def test_revealing_terms_are_marked_wherever_they_stand(spark, make_docs):
     assert len(got[0]) >= 4 and got[20] and not got[21] and not got[30]
 
 
-def test_places_of_many_matches(spark):
-    """Places are right beyond one piece of the list, whatever the characters."""
-    text = "é\U0001F600 abcd  " * 700 + "tail"
-    df = spark.createDataFrame([(text,)], "t string")
-    got = [(m.start, m.end, m.value) for m in df.select(P.matches(df.t, "[a-z]{4}")).first()[0]]
-    assert got == [(m.start(), m.end(), m[0]) for m in re.finditer("[a-z]{4}", text)]
+def test_terms_are_counted_over_whole_texts(spark, make_docs):
+    """Far from the entity, short, in CJK characters or of digits; scores are
+    those of the definition over all pairs of a text's terms and entities."""
+    r = random.Random(7)
+    far = "plain words here " * 20
+    rows = [(i, f"Li 李明 4711 {far} {r.randint(0, 30)} near ann@example.org {r.randint(0, 30)}") for i in range(4)]
+    rows += [(10 + i, f"{far} {r.randint(0, 30)} near bob@example.org Bo {r.randint(0, 30)}") for i in range(3)]
+    rows += [(20 + i, f"{far} {r.randint(0, 30)} {r.randint(0, 30)}") for i in range(300)]
+    rows += [(20, f"{far} 4 4"), (None, f"{far} near bob@example.org Bo"), (0, rows[0][1]), (400, f"{far} Bo")]
+    got = {}
+    for x in P.find_personal_data(make_docs(rows)).collect():
+        for i, t in rows:
+            if i == x.id:
+                got.update({t[s.start:s.end].lower(): s.kind for s in x.spans if s.kind.startswith("term_")
+                            and re.fullmatch(r"\w+", t[s.start:s.end])})
+    n, n_t, n_e, n_te, texts = len(rows), Counter(), Counter(), Counter(), defaultdict(set)
+    for _, t in rows:
+        entities = set(re.findall(r"\w+@\w+\.\w+", t))
+        terms = set(re.findall(r"\w+", re.sub(r"\w+@\w+\.\w+", " ", t).lower()))
+        n_t.update(terms)
+        n_e.update(entities)
+        for pair in ((e, w) for e in entities for w in terms):
+            n_te[pair] += 1
+            texts[pair].add(t)
+    want = {}
+    for (e, w), k in n_te.items():
+        score = math.log(n * k / (n_t[w] * n_e[e])) / math.log(n / n_e[e])
+        if len(texts[e, w]) >= 2 and score >= 0.7:
+            want[w] = max(want.get(w, ""), "term_removed" if score >= 0.95 else "term_generalised")
+    assert got == want and {"li", "李明", "4711"} <= {w for w in want if want[w] == "term_removed"}
+    assert {"bo", "near"} <= set(want) and "plain" not in want

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from driver_tables import SF_SMALL
 from shelfspark import schema as S
 from shelfspark.operators.flatten import flatten_records
 from shelfspark.plans import jobs

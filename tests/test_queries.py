@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from driver_tables import SF_SMALL
 from oracle_check import compare, duck
 from shelfspark.plans import queries as own  # the training-data queries are tested in tests/llm
 

@@ -148,3 +148,30 @@ def span_digest(rows: DataFrame, base: list[str], own: list[str], spans: str = "
     return rows.select(*[c for c in rows.columns if c != spans], *counts,
                        F.sha2(span_text(s, base).cast("binary"), 256).alias("base_sha256"),
                        span_text(s, base + own).alias("spans"))
+
+
+def join_counted(rows: DataFrame, right: DataFrame, keys: list[str], total: int,
+                 most_broadcast: int = 1_000_000) -> DataFrame:
+    """``rows`` with the columns of ``right``, a stored table of unique ``keys``
+    (NULLs equal) and ``n``, the number of the ``total`` rows that hold them.
+
+    ``right`` is broadcast when its count proves it small. Else the keys of more
+    than total / most_broadcast rows, fewer than ``most_broadcast`` of them, are
+    joined apart by a broadcast, and only the others shuffle.
+    """
+    names = {k: f"_right_{k}" for k in keys}
+
+    def same(table: DataFrame) -> Column:
+        out = F.lit(True)
+        for k, r in names.items():
+            out = out & rows[k].eqNullSafe(table[r])
+        return out
+    right = right.withColumnsRenamed(names)
+    if right.count() <= most_broadcast:
+        return rows.join(F.broadcast(right), same(right)).drop(*names.values(), "n")
+    hot = right.where(F.col("n") * most_broadcast > total)
+    cold = right.where(F.col("n") * most_broadcast <= total)
+    held = hot.select(*names.values())
+    rest = rows.join(F.broadcast(held), same(held), "left_anti")
+    return rows.join(F.broadcast(hot), same(hot)).drop(*names.values(), "n").unionByName(
+        rest.join(cold, same(cold)).drop(*names.values(), "n"))

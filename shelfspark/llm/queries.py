@@ -13,5 +13,6 @@ from . import (  # noqa: F401  (register)
     secrets,
     token_shards,
     toxicity,
+    vector_codes,
 )
 from .common import ORACLE, QUERIES  # noqa: F401

@@ -14,5 +14,6 @@ from . import (  # noqa: F401  (register)
     token_shards,
     toxicity,
     vector_codes,
+    vector_search,
 )
 from .common import ORACLE, QUERIES  # noqa: F401

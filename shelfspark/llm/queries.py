@@ -11,6 +11,7 @@ from . import (  # noqa: F401  (register)
     pii,
     quality,
     secrets,
+    token_alignment,
     token_shards,
     toxicity,
     vector_codes,

@@ -21,7 +21,10 @@ ones are joined by Spark.
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import register, ship_code, stored, table
-from .tokens import byte_alphabet, text_slices, vocabulary_path
+from .tokens import NOT_PLAIN, byte_alphabet, text_slices, vocabulary_path
 
 # A cut lies before a run of spaces between a visible character and another
 # character that is no space. Characters that some tables count as white space and
@@ -38,6 +41,7 @@ from .tokens import byte_alphabet, text_slices, vocabulary_path
 CUT = re.compile("(?<=[^\\s\\u180e\\u200b\\ufeff])(?= +[^ ])")
 UNEASY = re.compile("[\\s\\u180e\\u200b\\ufeff] ")
 BAD = 1 << 120  # beside three counts of 40 bits each
+MARKS = ("", ";", "|", ",")  # before a chunk's first token, a group, its B tokens, another token of a side
 
 
 def split_text(text: str) -> list[str]:
@@ -57,106 +61,144 @@ def coalesce(start: np.ndarray, end: np.ndarray, side: np.ndarray) -> tuple[np.n
 
 
 class Aligner:
-    """Texts to their alignment. ``counts``: per chunk its numbers of A tokens, B
-    tokens and groups in one number; ``groups``: their text; ``links``: pair codes."""
+    """Texts to their alignment. ``known``: chunk -> its numbers of A tokens, B tokens
+    and groups in one number, the text of its groups, its pair codes as bytes."""
 
-    def __init__(self, path_a: str, path_b: str, most_cached: int = 150_000, longest: int = 64):
+    def __init__(self, path_a: str, path_b: str, most_cached: int = 200_000, longest: int = 64):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
+        if hasattr(self.a.model, "_resize_cache"):
+            self.a.model._resize_cache(0)  # chunks are kept below, once
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte_of = {c: i for i, c in enumerate(byte_alphabet())}
         self.a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
         for token, i in self.a.get_vocab(with_added_tokens=True).items():
-            known = all(c in byte_of for c in token)
-            self.a_bytes[i] = bytes(byte_of[c] for c in token) if known else token.encode()
+            whole = all(c in byte_of for c in token)
+            self.a_bytes[i] = bytes(byte_of[c] for c in token) if whole else token.encode()
+        self.quick = self._ranked(path_a)
         self.n_b = self.b.get_piece_size()
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i in range(self.n_b) for p in [self.b.id_to_piece(i)]]
+        self.space_b = self.b.piece_to_id("▁")
         self.kind = "<u4" if len(self.a_bytes) * self.n_b <= 1 << 32 else "<u8"
-        self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
+        # an id's text after each of MARKS
+        self.most_ids = max(len(self.a_bytes), self.n_b)
+        self.shown = [m + str(i) for m in MARKS for i in range(self.most_ids)]
+        self.shown_len = np.array([len(x) for x in self.shown], np.int64)
         self.most, self.longest = most_cached, longest
-        self.counts: dict[str, int] = {}
-        self.groups: dict[str, str] = {}
-        self.links: dict[str, bytes] = {}
-
-    def _encode(self, chunks: list[str]):
-        a = [e.ids for e in self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)]
-        b = self.b.encode(chunks, num_threads=1)
-        for i, c in enumerate(chunks):
-            if not c:  # a space alone, which this tokenizer takes for an empty text
-                b[i] = [self.b.piece_to_id("▁")]
-        return a, b
+        self.known: dict[str, tuple[int, str, bytes]] = {}
+
+    def _ranked(self, path_a: str):
+        """The first tokenizer over its own vocabulary as ranks, several times as fast,
+        where its file says that this is the same: byte-level words by the known
+        pattern, and merges numbered in the order in which they are tried."""
+        with open(path_a) as f:
+            spec = json.load(f)
+        cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        merges = [m.replace(" ", "", 1) if isinstance(m, str) else "".join(m) for m in model.get("merges", [])]
+        added = {t["id"] for t in spec.get("added_tokens", [])}
+        ids = [model["vocab"].get(m) for m in merges]
+        if (spec.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space")
+                or not cut.get("use_regex", True) or model.get("type") != "BPE"
+                or ids != list(range(256, 256 + len(ids))) or len(set(model["vocab"].values()) - added) != 256 + len(ids)):
+            return None
+        import public_tokenizers
+        import tiktoken
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks={
+            b: i for i, b in enumerate(self.a_bytes) if i not in added}).encode_ordinary
+
+    def _encode_a(self, chunks: list[str]) -> list[list[int]]:
+        """Characters whose class depends on Unicode tables, and very long chunks, go to
+        the tokenizers library."""
+        whole = [" " + c for c in chunks]
+        quick = self.quick
+        out = [quick(c) if quick and len(c) <= 256 and not NOT_PLAIN.search(c) else None for c in whole]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(rest, self.a.encode_batch([whole[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    def _tokens(self, ids: list[list[int]], spelled: list[bytes], chunk_bytes: np.ndarray, chunk_len: np.ndarray):
+        """Ids, their byte lengths and each chunk's number of them, and which chunks
+        they spell exactly. ``chunk_bytes``: all chunks put together."""
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = list(chain.from_iterable(ids))
+        parts = [spelled[i] for i in flat]
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        own = np.repeat(np.arange(len(ids)), n)
+        good = np.bincount(own, weights=size, minlength=len(ids)).astype(np.int64) == chunk_len
+        if not good.all():
+            parts = [p for p, ok in zip(parts, good[own].tolist()) if ok]
+            chunk_bytes = chunk_bytes[np.repeat(good, chunk_len)]
+        differs = np.flatnonzero(np.frombuffer(b"".join(parts), np.uint8) != chunk_bytes)
+        if len(differs):
+            kept = np.flatnonzero(good)
+            good[kept[np.searchsorted(np.cumsum(chunk_len[kept]), differs, side="right")]] = False
+        return np.array(flat, np.int64), size, own, good
 
     def learn(self, chunks: list[str]) -> None:
         """Align new chunks, all in one sort."""
-        a, b = self._encode(chunks)
-        good = []
-        for i, c in enumerate(chunks):
-            whole = (" " + c).encode()
-            if b"".join(map(self.a_bytes.__getitem__, a[i])) == whole == b"".join(map(self.b_bytes.__getitem__, b[i])):
-                good.append(i)
-            else:
-                self.counts[c], self.groups[c], self.links[c] = BAD, "", b""
-        if not good:
-            return
-        n_a, n_b = (np.array([len(x[i]) for i in good], np.int64) for x in (a, b))
-        ids = [np.fromiter((t for i in good for t in x[i]), np.int64) for x in (a, b)]
-        end = [np.cumsum(size[own]) for size, own in zip((self.a_len, self.b_len), ids)]
-        start = [e - size[own] for e, size, own in zip(end, (self.a_len, self.b_len), ids)]
+        a = self._encode_a(chunks)
+        # a space alone is an empty text to the second tokenizer
+        b = [x or [self.space_b] for x in self.b.encode(chunks, num_threads=1)]
+        raw = [(" " + c).encode() for c in chunks]
+        chunk_len = np.fromiter(map(len, raw), np.int64, len(raw))
+        chunk_bytes = np.frombuffer(b"".join(raw), np.uint8)
+        sides = [self._tokens(a, self.a_bytes, chunk_bytes, chunk_len),
+                 self._tokens(b, self.b_bytes, chunk_bytes, chunk_len)]
+        good = sides[0][3] & sides[1][3]
+        ids, end, start, own = [], [], [], []
+        for flat, size, chunk, _ in sides:
+            keep = good[chunk]
+            ids.append(flat[keep])
+            own.append(chunk[keep])
+            end.append(np.cumsum(size[keep]))
+            start.append(end[-1] - size[keep])
         # overlaps: for each A token the run of B tokens that end after its start and begin before its end
         low = np.searchsorted(end[1], start[0], side="right")
         n = np.searchsorted(start[1], end[0], side="left") - low
-        own = np.repeat(np.arange(len(n)), n)
-        other = np.arange(len(own)) - np.repeat(np.cumsum(n) - n - low, n)
-        codes = (ids[0][own] * self.n_b + ids[1][other]).astype(self.kind)
-        links_at = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(n_a)])]
+        left = np.repeat(np.arange(len(n)), n)
+        right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n - low, n)
+        codes = (ids[0][left] * self.n_b + ids[1][right]).astype(self.kind)
+        links = np.bincount(own[0], weights=n, minlength=len(chunks)).astype(np.int64) * codes.itemsize
 
         side = np.repeat([0, 1], [len(ids[0]), len(ids[1])])
         order, group = coalesce(np.concatenate(start), np.concatenate(end), side)
-        token, side = np.concatenate(ids)[order], side[order]
-        chunk = np.concatenate([np.repeat(np.arange(len(good)), n_a), np.repeat(np.arange(len(good)), n_b)])[order]
-        place = np.lexsort((side, group))  # A before B in each group
-        token, side, group, chunk = (x[place] for x in (token, side, group, chunk))
+        order = order[np.argsort(group * 2 + side[order], kind="stable")]  # A before B in each group
+        token, side, chunk = np.concatenate(ids)[order], side[order], np.concatenate(own)[order]
         new_group = np.diff(group, prepend=-1) > 0
         mark = np.where(np.diff(chunk, prepend=-1) > 0, 0, np.where(new_group, 1, np.where(
             np.diff(side, prepend=0) > 0, 2, 3)))
-        marks = ("", ";", "|", ",")
-        text = [marks[m] + str(t) for m, t in zip(mark.tolist(), token.tolist())]
-        ends = np.cumsum(n_a + n_b).tolist()
-        n_groups = np.bincount(chunk[new_group], minlength=len(good)).tolist()
-        first = 0
-        for k, i in enumerate(good):
-            c = chunks[i]
-            self.counts[c] = len(a[i]) | len(b[i]) << 40 | n_groups[k] << 80
-            self.groups[c] = "".join(text[first:ends[k]])
-            self.links[c] = codes[links_at[k]:links_at[k + 1]].tobytes()
-            first = ends[k]
-
-    def __call__(self, texts: list[str | None]):
+        shown = mark * self.most_ids + token
+        text = "".join(map(self.shown.__getitem__, shown.tolist()))
+        text_len = np.bincount(chunk, weights=self.shown_len[shown], minlength=len(chunks)).astype(np.int64)
+        counts = [np.bincount(x, minlength=len(chunks)).tolist() for x in (*own, chunk[new_group])]
+        data = codes.tobytes()
+        places = [np.concatenate([[0], np.cumsum(x)]).tolist() for x in (text_len, links)]
+        for i, (c, ok, na, nb, ng) in enumerate(zip(chunks, good.tolist(), *counts)):
+            self.known[c] = (na | nb << 40 | ng << 80, text[places[0][i]:places[0][i + 1]],
+                             data[places[1][i]:places[1][i + 1]]) if ok else (BAD, "", b"")
+
+    def __call__(self, texts: list[str | None], at_once: int = 20_000):
         """Per text ``(n_a, n_b, n_groups, groups, links)``."""
         cut = [split_text(t) if t else None for t in texts]
-        new = list(set().union(*(c for c in cut if c)).difference(self.counts))
-        if new:
-            self.learn(new)
-        out = []
+        new = list(set().union(*(c for c in cut if c)).difference(self.known))
+        for i in range(0, len(new), at_once):
+            self.learn(new[i:i + at_once])
+        out, mask = [], (1 << 40) - 1
         for chunks in cut:
-            total = sum(map(self.counts.__getitem__, chunks)) if chunks else BAD
-            if total >= BAD:
-                out.append((0, 0, 0, "", b""))
-                continue
-            mask = (1 << 40) - 1
-            out.append((total & mask, total >> 40 & mask, total >> 80 & mask,
-                        ";".join(map(self.groups.__getitem__, chunks)), b"".join(map(self.links.__getitem__, chunks))))
-        if len(self.counts) > self.most:
-            for store in (self.counts, self.groups, self.links):
-                store.clear()
+            counts, groups, links = zip(*map(self.known.__getitem__, chunks)) if chunks else ((BAD,), (), ())
+            total = sum(counts)
+            out.append((0, 0, 0, "", b"") if total >= BAD else (
+                total & mask, total >> 40 & mask, total >> 80 & mask, ";".join(groups), b"".join(links)))
+        if len(self.known) > self.most:
+            self.known.clear()
         for c in new:
             if len(c) > self.longest:
-                for store in (self.counts, self.groups, self.links):
-                    store.pop(c, None)
+                self.known.pop(c, None)
         return out
 
 
@@ -177,7 +219,7 @@ def _align_pass(path_a: str, path_b: str, keep_groups: bool):
         align = aligner(path_a, path_b)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for begin, end in text_slices(batch):
+            for begin, end in text_slices(batch, 1 << 20):
                 part = batch.slice(begin, end - begin)
                 done = align(part.column("text").to_pylist())
                 n_a, n_b, n_groups, groups, links = zip(*done)

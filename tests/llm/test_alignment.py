@@ -95,7 +95,22 @@ def test_small_store_and_empty_table(spark, make_docs):
     small, large = A.Aligner(*paths, most_cached=3, longest=2), A.Aligner(*paths)
     for _ in range(2):
         assert small(SPACES) == large(SPACES)
-    assert len(small.counts) <= 3
+    assert len(small.known) <= 3
     assert A.align_corpus(make_docs([])).collect() == []
     whole = A.align(make_docs([(1, "two words")]), keep_groups=True).collect()[0]
     assert whole.groups.count(";") + 1 == whole.n_groups and "|" in whole.groups
+
+
+def test_ranks_give_the_tokenizers_ids():
+    """Every entry's own text and all chunks of the small table, both ways."""
+    own = A.Aligner(*[public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")])
+    assert own.quick
+    chunks = {b.decode("utf-8", "ignore").strip() for b in own.a_bytes}
+    for (text,) in duckdb.sql(f"SELECT text FROM '{SF}/documents.parquet' WHERE text <> ''").fetchall():
+        chunks.update(A.split_text(text))
+    chunks = sorted(chunks)
+    assert own._encode_a(chunks) == [e.ids for e in own.a.encode_batch([" " + c for c in chunks],
+                                                                       add_special_tokens=False)]
+    own.quick = None
+    assert own(["two words"]) == A.Aligner(*[public_tokenizers.path(x) for x in (
+        "byte_bpe_50k.json", "piece_bpe_32k.model")])(["two words"])

@@ -1,7 +1,7 @@
 """Best-fit packing of token sequences, best-two-fit.
 
-Documents are cut into pieces of at most ``size`` tokens; pieces are dealt at
-random (by hash) into groups of about ``group_rows`` and each group is packed on
+Documents are cut into pieces of at most ``size`` tokens; pieces are numbered and
+dealt by a hash of their number into groups of about ``group_rows`` and each group is packed on
 its own, so no task holds more than a group and the loss is at most about one
 partly filled sequence per group. In a group each sequence is filled greedily
 (the longest piece left, then the longest that fits, and so on); then its
@@ -23,6 +23,7 @@ from .common import register, ship_code, stored, table
 from .tokens import encoder, text_slices, vocabulary_path
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
+NUMBER = "number"  # of a piece, its own however many rows are equal
 
 
 def _pieces(path: str, end_id: int, size: int):
@@ -30,6 +31,7 @@ def _pieces(path: str, end_id: int, size: int):
 
     def run(batches):
         encode = encoder(path)
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids = batch.column("id")
             for a, b in text_slices(batch):
@@ -45,8 +47,10 @@ def _pieces(path: str, end_id: int, size: int):
                         crc.append(zlib.crc32(part))
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
-                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-                    names=["id", "piece", "start", "length", "ids_crc32"])
+                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
+                     pa.array(np.arange(number, number + len(row)))],
+                    names=["id", "piece", "start", "length", "ids_crc32", NUMBER])
+                number += len(row)
     return run
 
 
@@ -108,7 +112,7 @@ def _packed(size: int):
         rows = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if rows is None or not rows.num_rows:
             return
-        rows = rows.sort_by([("length", "descending"), ("id", "ascending"), ("piece", "ascending"),
+        rows = rows.drop_columns(NUMBER).sort_by([("length", "descending"), ("id", "ascending"), ("piece", "ascending"),
                              ("ids_crc32", "ascending")])
         sequence, offset = pack(rows["length"].to_numpy(), size)
         first = TaskContext.get().partitionId() << 32
@@ -123,16 +127,18 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per piece: ``(id, piece, start, length, ids_crc32, sequence_id, offset)``.
 
     A document is its ids and the end id; an empty or NULL text is the end id
-    alone. Rows with a NULL or repeated id are packed like any other. An empty
+    alone. Rows with a NULL or repeated id are packed like any other, and equal rows
+    are dealt over all groups. ``group_rows`` bounds a task: more of it packs a little
+    tighter. An empty
     table gives no rows. Only ``id_col`` and ``text_col`` are read.
     """
     ship_code(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
     path = tokenizer or vocabulary_path()
     pieces = stored(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                    .mapInArrow(_pieces(path, end_id, size), f"id {kind}, {PIECE_SCHEMA}"), "pieces")
+                    .mapInArrow(_pieces(path, end_id, size), f"id {kind}, {PIECE_SCHEMA}, {NUMBER} long"), "pieces")
     groups = max(1, -(-pieces.count() // group_rows))
-    return (pieces.repartition(groups, "id", "piece", "ids_crc32")
+    return (pieces.repartition(groups, NUMBER)
             .mapInArrow(_packed(size), f"id {kind}, {PIECE_SCHEMA}, sequence_id long, offset long"))
 
 

@@ -308,11 +308,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component, the one of smallest id; all
-    columns. Rows without id stay, as they are in no component."""
-    found = jaccard_components(docs, id_col, text_col, **options)
-    lost = found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias(id_col))
-    return drop_keys(docs, lost)
+    """``docs`` with one document of each component, the one of smallest id (then of
+    smallest text hash); all columns. A document is an id with a text: of two texts
+    under one id only the one that has a near copy goes. Rows that repeat as a whole
+    stay or go together. Rows without id stay, as they are in no component."""
+    key = "_text_key"
+    marked = docs.withColumn(key, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    named = marked.select(F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), key)).alias("id"),
+                          F.col(text_col).alias("text"))
+    found = jaccard_components(named, "id", "text", **options)
+    lost = found.where(F.col("id") != F.col("component_id")).select(
+        F.col("id.id").alias(id_col), F.col(f"id.{key}").alias(key))
+    return drop_keys(marked, lost).drop(key)
 
 
 OP1_SQL = r"""

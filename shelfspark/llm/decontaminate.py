@@ -1,7 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index lookup.
 
-Every benchmark item has a 128-bit SimHash of its word shingles, weighted by how
-often each occurs in it. Over every document windows as long as an item (in
+Every benchmark item has a 128-bit SimHash of its word shingles; the k-th occurrence
+of a shingle is a feature of its own, so that the fingerprints' distance follows the
+weighted similarity. Over every document windows as long as an item (in
 words) are fingerprinted the same way. Fingerprints are cut into 8 blocks of 16
 bits; two that differ in at most 31 bits agree in some block up to 3 bits, so
 looking up each block within 3 bits finds every pair within the radius. Pairs
@@ -11,13 +12,15 @@ over the sum of the larger counts of each shingle.
 A window that shares no shingle with any item has similarity 0, so only windows
 around a shared shingle are fingerprinted; nothing that could be reported is
 left out by that. A text shorter than an item (the item with words dropped) is
-its one window for that item. Two texts of similarity 0.8 differ in 19 of 128 bits on
+its one window for that item; an item shorter than a shingle is one shingle of all
+its words. Two texts of similarity 0.8 differ in 19 of 128 bits on
 average (standard deviation 4), so the radius of 31 misses about 2 in 1000 at
 the threshold itself and fewer above it.
 """
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 import numpy as np
@@ -34,6 +37,33 @@ NEIGHBOURS = np.array([0] + [sum(1 << b for b in c) for k in range(1, NEAR + 1)
                              for c in combinations(range(16), k)], np.uint16)
 
 
+def features(h: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """A hash for the k-th occurrence (from 1) of each shingle."""
+    return np.where(k > 1, S.mix(h + k.astype(np.uint64) * S.U64(S.MIX_1)), h)
+
+
+class Repeats:
+    """Occurrences of the same shingle in a sequence."""
+
+    def __init__(self, h: np.ndarray):
+        self.n = len(h)
+        group = np.unique(h, return_inverse=True)[1].astype(np.int64)
+        self.base, self.place = group * (self.n + 1), np.arange(self.n)
+        self.key = np.sort(self.base + self.place)
+        self.at = np.searchsorted(self.key, self.base + self.place)
+        same = np.diff(self.key // (self.n + 1)) == 0
+        #: fewest places between two occurrences of one shingle
+        self.closest = int(np.diff(self.key)[same].min()) if same.any() else self.n + 1
+
+    def up_to(self, span: int) -> np.ndarray:
+        """Of the ``span`` places that end at each place, how many hold its shingle."""
+        return self.at - np.searchsorted(self.key, self.base + np.maximum(self.place - span + 1, 0)) + 1
+
+    def onward(self, span: int) -> np.ndarray:
+        """Of the ``span`` places that begin at each place, how many hold its shingle."""
+        return np.searchsorted(self.key, self.base + np.minimum(self.place + span, self.n)) - self.at
+
+
 def signs(h: np.ndarray) -> np.ndarray:
     """Per shingle hash its 128 bits as +1 / -1 (int8)."""
     both = np.stack([S.mix(h), S.mix(h ^ S.U64(S.BASE))], axis=1)
@@ -63,7 +93,8 @@ class Items:
             known.append(own)
             at = self.by_size.setdefault(int(n_words[i]), {"ids": [], "prints": [], "shingles": []})
             at["ids"].append(item_id)
-            at["prints"].append(pack_bits(signs(own).sum(axis=0, dtype=np.int32)[None, :])[0])
+            unit = features(own, Repeats(own).up_to(len(own)))
+            at["prints"].append(pack_bits(signs(unit).sum(axis=0, dtype=np.int32)[None, :])[0])
             at["shingles"].append(np.unique(own, return_counts=True))
         self.known = np.unique(np.concatenate(known)) if known else np.zeros(0, S.U64)
         self.filter = np.zeros(1 << 20, bool)
@@ -111,8 +142,9 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def _search_stretch(region, lo, hits, stretch, items, threshold, best, whole) -> None:
     """Enter the windows of ``region`` (which begins at ``lo``) into ``best``;
     ``whole``: it is all of its text, so the one window of items longer than it."""
-    sums = np.concatenate([np.zeros((1, BITS), np.int32),
-                           np.cumsum(signs(region), axis=0, dtype=np.int32)])
+    def sums_of(unit: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros((1, BITS), np.int32), np.cumsum(signs(unit), axis=0, dtype=np.int32)])
+    plain, repeats = sums_of(region), Repeats(region)
     here = np.zeros(len(region) + 1, np.int64)
     here[hits[(hits >= lo) & (hits < lo + len(region))] - lo + 1] = 1
     here = np.cumsum(here)
@@ -125,7 +157,14 @@ def _search_stretch(region, lo, hits, stretch, items, threshold, best, whole) ->
             span = len(region)
         start = np.flatnonzero(here[span:] - here[:-span] > 0)
         start = start[start < stretch]
-        prints = pack_bits(sums[start + span] - sums[start])
+        if not len(start):
+            continue
+        # a shingle that enters a window takes its next number, one that leaves its last
+        entered = left = plain
+        if repeats.closest < span:
+            entered = sums_of(features(region, repeats.up_to(span)))
+            left = sums_of(features(region, repeats.onward(span)))
+        prints = pack_bits(entered[start + span] - left[start])
         for w, i in items.candidates(size, prints):
             s = int(start[w])
             sim = similarity(np.unique(region[s:s + span], return_counts=True), at["shingles"][i])
@@ -154,23 +193,44 @@ def search_text(h: np.ndarray, hits: np.ndarray, items: Items, threshold: float,
     return [(name, sim, -start, size) for name, ((sim, start), size) in best.items()]
 
 
-def search_batch(texts: pa.Array, items: Items, threshold: float):
+def item_groups(items: list[tuple], width: int) -> list[Items]:
+    """Items of at least ``width`` words, and shorter ones by their number of words."""
+    n_words = np.diff(S.words(*S.text_bytes(pa.array([t for _, t in items], pa.large_string())), S.NOT_ALNUM)[1])
+    return [Items([x for x, n in zip(items, n_words) if n == m or m == width < n], m)
+            for m in range(1, width + 1) if (n_words >= width if m == width else n_words == m).any()]
+
+
+def search_batch(texts: pa.Array, groups: list[Items], threshold: float):
     """``(row, item_id, similarity, start, size)`` for the texts of an array."""
     for begin, _, raw, offsets in S.batches(texts):
         w, first = S.words(raw, offsets, S.NOT_ALNUM)
-        h, win = S.shingles(w, first, items.width)
-        hits = np.flatnonzero(items.holds(h))
-        owner = np.searchsorted(win, hits, side="right") - 1
-        for d in np.unique(owner):
-            for got in search_text(h[win[d]:win[d + 1]], hits[owner == d] - win[d], items, threshold):
-                yield begin + int(d), *got
+        for items in groups:
+            h, win = S.shingles(w, first, items.width)
+            hits = np.flatnonzero(items.holds(h))
+            owner = np.searchsorted(win, hits, side="right") - 1
+            for d in np.unique(owner):
+                for got in search_text(h[win[d]:win[d + 1]], hits[owner == d] - win[d], items, threshold):
+                    yield begin + int(d), *got
+
+
+_loaded: dict[str, list[Items]] = {}
+
+
+def _indexed(shared) -> list[Items]:
+    """The index of a block of items, built once in each Python worker."""
+    name, items, width = shared.value
+    if name not in _loaded:
+        if len(_loaded) > 1:
+            _loaded.clear()
+        _loaded[name] = item_groups(items, width)
+    return _loaded[name]
 
 
 def _search(shared, threshold):
     def run(batches):
-        items = Items(*shared.value)
-        for batch in batches if items.by_size else ():
-            found = list(search_batch(batch.column("text"), items, threshold))
+        groups = _indexed(shared)
+        for batch in batches if groups else ():
+            found = list(search_batch(batch.column("text"), groups, threshold))
             if found:
                 row, item, sim, start, size = (list(c) for c in zip(*found))
                 yield pa.RecordBatch.from_arrays(
@@ -180,14 +240,16 @@ def _search(shared, threshold):
     return run
 
 
-def _item_blocks(benchmark: DataFrame, width: int, block_items: int):
-    """Broadcasts of the benchmark in blocks of about ``block_items``."""
+def _item_blocks(benchmark: DataFrame, width: int, block_items: int, block_bytes: int = 1 << 23):
+    """Broadcasts of the benchmark in blocks of about ``block_items`` items and
+    ``block_bytes`` of text, whichever is less."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    blocks = max(1, -(-items.count() // block_items))
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, -(-n // block_items), -(-size // block_bytes))
     for b in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        yield spark.sparkContext.broadcast(([tuple(r) for r in mine.distinct().collect()], width))
+        yield spark.sparkContext.broadcast((uuid.uuid4().hex, [tuple(r) for r in mine.distinct().collect()], width))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -196,9 +258,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     benchmark item found in it, the most similar window (first of equals). A
     document of fewer words than the item is one window, of all its words.
 
-    Words are runs of letters and digits, ASCII lower-cased. Items of fewer than
-    ``width`` words or without text are not searched: they say too little to
-    tell a leak from ordinary text. The benchmark is read in blocks of about
+    Words are runs of letters and digits, ASCII lower-cased. An item of fewer than
+    ``width`` words is found where all its words stand together; items without a
+    word are not searched. The benchmark is read in blocks of about
     ``block_items``, each against all documents; the documents are never
     shuffled. Repeated rows give repeated results; NULL and empty texts none.
     """
@@ -218,14 +280,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     ship_code(docs.sparkSession)
 
     def clean(shared):
-        held = []
-
         def keep(batch):
-            if not held:
-                held.append(Items(*shared.value))
             mask = np.ones(batch.num_rows, bool)
-            if held[0].by_size:
-                mask[[x[0] for x in search_batch(batch.column(text_col), held[0], threshold)]] = False
+            mask[[x[0] for x in search_batch(batch.column(text_col), _indexed(shared), threshold)]] = False
             return pa.array(mask)
         return keep
     for shared in _item_blocks(benchmark, width, block_items):

@@ -9,7 +9,8 @@ Ingest folder layout under ``root`` (a shared folder):
   summary/run=<n>/    run counters (Parquet)
   merged/             last-wins records over all runs (Parquet)
   status_snapshot/upto=<r>/  compacted status sets as of run r (``compact``)
-  merged_snapshot/upto=<b>/  compacted last-wins records up to run b (``merge_incremental``)
+  merged_buckets/     last-wins records in hash buckets (``merge_incremental``, see ``buckets``)
+  runs/, claims/      run numbers and the sources they were given to (see ``registry``)
 
 The status sets (processed / discarded / notreleased) and the record batches
 are views over ``outcomes``: a status read prunes the record column away, a
@@ -20,7 +21,7 @@ replaces only run n's partitions.
 Compaction keeps the per-run reads bounded as runs accumulate: a run reads the
 latest status snapshot taken before it plus the outcomes logged after that
 snapshot (partition-pruned), never the whole log; ``merge_incremental`` folds
-only the runs after the last merged snapshot into it. Snapshots go to their
+only runs it has not folded yet into the buckets they touch. Snapshots go to their
 own paths, so no job overwrites what it reads.
 """
 
@@ -35,7 +36,7 @@ from ..operators import ingest
 from ..operators.flatten import flatten_struct
 from ..sinks import files as sinks
 from ..sources.files import numbered_folders, read_or_empty, remove_folder
-from . import reports
+from . import buckets, registry, reports
 
 OUTCOME_KEYS = T.StructType([T.StructField("app_id", T.StringType()),
                              T.StructField("outcome", T.StringType()),
@@ -91,10 +92,10 @@ def seed_status(spark: SparkSession, root: str, status: DataFrame) -> None:
 
 def _forget_snapshots(spark: SparkSession, root: str, run: int) -> None:
     """Drop the snapshots that hold run ``run``: it is about to be written again."""
-    for kind in ("status_snapshot", "merged_snapshot"):
-        for n in _snapshots(spark, _p(root, kind)):
-            if n >= run:
-                remove_folder(spark, _p(root, kind, f"upto={n}"))
+    for n in _snapshots(spark, _p(root, "status_snapshot")):
+        if n >= run:
+            remove_folder(spark, _p(root, "status_snapshot", f"upto={n}"))
+    buckets.forget(spark, root, run)
 
 
 def status_as_of(spark: SparkSession, root: str, run: int | None = None) -> DataFrame:
@@ -120,9 +121,13 @@ def current_status(spark: SparkSession, root: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, root: str) -> int:
-    """Write the status sets as of the last run as ``status_snapshot/upto=<r>``."""
-    r = next_run(spark, root) - 1
-    if r > 0:
+    """Write the status sets as of the last run as ``status_snapshot/upto=<r>``: the last
+    before which no run is claimed or begun that has not ended (another source's run
+    with a smaller number must not be passed over)."""
+    ended = set(buckets.finished_runs(spark, _p(root, "outcomes")))
+    begun = {*registry.claimed(spark, root), *numbered_folders(spark, _p(root, "outcomes"), "run")}
+    r = min(begun - ended, default=max(ended, default=0) + 1) - 1
+    if r > 0 and r not in _snapshots(spark, _p(root, "status_snapshot")):
         _snapshot_status(spark, root, r)
     return r
 
@@ -142,17 +147,21 @@ def next_run(spark: SparkSession, root: str) -> int:
 def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFrame,
                stats: DataFrame | None = None, released: bool = True,
                chunk_size: int = sinks.DEFAULT_CHUNK_SIZE, run: int | None = None,
-               compact_every: int = 10) -> DataFrame:
+               compact_every: int = 10, source: str | None = None, epoch: int = 0) -> DataFrame:
     """DF2: one incremental run over landed payloads; returns the run summary.
 
     apps: ``(app_id)``; primary/stats: ``(app_id, body)``. ``stats=None``
     turns enrichment off; ``released`` skips apps known as not released.
     ``seed_status`` gives a new folder the sets of an existing catalog. Writing a
-    run again drops the snapshots that hold it.
+    run again drops the snapshots that hold it. The run number comes from the
+    registry: an ``epoch`` of a ``source`` that is run again keeps its number.
     Every ``compact_every`` runs (0 = never) the status sets are snapshotted,
     so no run reads more than that many runs of the outcome log.
     """
-    run = next_run(spark, root) if run is None else run
+    if run is None:
+        run = registry.claim_run(spark, root, next_run(spark, root) - 1, source, epoch)
+    else:
+        registry.note_run(spark, root, run)
     _forget_snapshots(spark, root, run)
     # only earlier runs count: re-running run n sees what run n saw the first time
     status = status_as_of(spark, root, run)
@@ -168,7 +177,7 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
     summary = ingest.run_summary(apps, status, written)
     sinks.write_batch(summary, _p(root, "summary"), run, fmt="parquet", column="run")
     if compact_every and run % compact_every == 0:
-        _snapshot_status(spark, root, run)
+        compact(spark, root)
     return spark.read.parquet(_p(root, "summary")).where(F.col("run") == run)
 
 
@@ -179,27 +188,16 @@ def merge(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
     return spark.read.parquet(_p(root, "merged"))
 
 
-def merge_incremental(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
-    """SNK3 without re-reading old runs: last merged snapshot + newer runs.
-
-    Writes ``merged_snapshot/upto=<b>`` (b = highest run folded in) and
-    returns it; equal to ``merge`` over all runs.
+def merge_incremental(spark: SparkSession, root: str, enriched: bool = True,
+                      n_buckets: int = buckets.DEFAULT_BUCKETS) -> DataFrame:
+    """SNK3 without re-reading old runs: the runs not folded yet go into the buckets
+    of ``merged_buckets`` that their records fall in; the others stay as they are.
+    Returns the version then current; equal to ``merge`` over all ended runs.
     """
-    snaps = _snapshots(spark, _p(root, "merged_snapshot"))
     records = record_batches(spark, root, enriched)
-    if snaps:
-        prev = spark.read.parquet(_p(root, "merged_snapshot", f"upto={snaps[-1]}"))
-        records = prev.select("app_id", "record", "batch_id").unionByName(
-            records.where(F.col("batch_id") > snaps[-1]))
-    top = records.agg(F.max("batch_id")).first()[0]
-    if top is None or (snaps and top <= snaps[-1]):
-        if snaps:
-            return spark.read.parquet(_p(root, "merged_snapshot", f"upto={snaps[-1]}"))
-        return records.limit(0)
-    merged = ingest.last_wins(records, "app_id", "batch_id")
-    out = _p(root, "merged_snapshot", f"upto={int(top)}")
-    sinks.write_parquet(merged, out)
-    return spark.read.parquet(out)
+    ended = buckets.finished_runs(spark, _p(root, "outcomes"))
+    now = buckets.fold(spark, root, records, ended, n_buckets)
+    return buckets.read(spark, root, records.schema, now["version"] or None)
 
 
 def catalog_from_merged(spark: SparkSession, root: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Landed data is read in parallel by file. The keyed-object form
 ``{"<app_id>": {...}, ...}`` (one object per file) is read with
-``wholetext`` — one task per file — so large datasets should land as many
-chunk files (or JSON Lines); every chunk is then its own task.
+``wholetext`` — one task per file — which suits chunk files; large files are
+read by many tasks with ``keyed.indented_catalog`` and ``keyed.one_line_catalog``.
 """
 
 from __future__ import annotations
@@ -50,12 +50,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType,
                   fmt: str = "parquet") -> DataFrame:
     """SRC2: read ``path``; a missing path is an empty table of ``schema``.
 
-    Only a missing path is swallowed; any other error is raised.
+    Only a missing path is swallowed; any other error is raised, a line that does
+    not parse included (``quarantined_lines`` keeps such lines apart instead).
     """
     if path_exists(spark, path) is False:
         return spark.createDataFrame([], schema)
     try:
-        reader = spark.read.schema(schema)
+        reader = spark.read.schema(schema).option("mode", "FAILFAST")
         return reader.format(fmt).load(path)
     except AnalysisException as ex:
         if ex.getCondition() == "PATH_NOT_FOUND" or "Path does not exist" in str(ex):
@@ -105,6 +106,22 @@ def merge_chunks(spark: SparkSession, path: str) -> DataFrame:
     return last_wins(ordered, "app_id", "_order").drop("_order")
 
 
+def quarantined_lines(spark: SparkSession, path: str, schema: T.StructType,
+                      quarantine: str) -> tuple[DataFrame, DataFrame]:
+    """SRC2 for files that may hold broken lines: the rows that parse, and the lines
+    that do not as ``(file, line)``, written to the Parquet folder ``quarantine``."""
+    text = spark.read.text(path).where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    mark = "_corrupt_record"
+    parsed = F.from_json("line", T.StructType([*schema.fields, T.StructField(mark, T.StringType())]),
+                         {"columnNameOfCorruptRecord": mark})
+    rows = text.withColumn("row", parsed)
+    broken = F.col("row").isNull() | F.col(f"row.{mark}").isNotNull()
+    rows.where(broken).select("file", "line").write.mode("overwrite").parquet(quarantine)
+    return (rows.where(~broken).select(*[F.col("row")[f.name].alias(f.name) for f in schema.fields]),
+            spark.read.schema("file string, line string").parquet(quarantine))
+
+
 def json_lines_records(spark: SparkSession, path: str) -> DataFrame:
     """JSON Lines with an ``app_id`` field per line -> ``(app_id, record)``."""
     raw = spark.read.text(path)
@@ -118,7 +135,8 @@ INDENTED_APPID = r'"appid"\s*:\s*"?(-?[0-9]+)'
 
 
 def _line_ids(parsed: Column) -> Column:
-    """Ids of a line: those of the document on it, or of a line of an indented array."""
+    """Ids of a line: those of the document on it, or of a line of an indented array.
+    A line that is neither (such as a cut array) gives NULL."""
     alone = F.concat(F.regexp_extract("value", INDENTED_ID, 1), F.regexp_extract("value", INDENTED_ID, 2))
     return F.coalesce(parsed, F.when(F.col("value").rlike(INDENTED_ID), F.array(alone)))
 
@@ -147,7 +165,7 @@ def id_set(spark: SparkSession, path: str, status: str | None = None,
 
     Lines read in parallel: each holds one array, or a line of an indented one.
     ``multiline=True`` parses each file as one array. A missing path is the
-    empty set.
+    empty set. A line that is neither raises with its file.
     """
     schema = S.STATUS_SCHEMA if status else T.StructType([T.StructField("app_id", T.StringType())])
     if path_exists(spark, path) is False:
@@ -159,7 +177,12 @@ def id_set(spark: SparkSession, path: str, status: str | None = None,
             return spark.createDataFrame([], schema)
         raise
     parsed = F.from_json("value", "array<string>")
-    ids = text.select(F.explode(parsed if multiline else _line_ids(parsed)).alias("app_id")).distinct()
+    found = parsed if multiline else _line_ids(parsed)
+    frame = F.trim("value").isin("", "[", "]")  # the brackets of an indented array on lines of their own
+    broken = F.raise_error(F.concat(F.lit("not an array of ids: "), F.col("_metadata.file_path"))).cast("array<string>")
+    lines = text.select(F.when(frame, F.array().cast("array<string>")).when(found.isNull(), broken)
+                        .otherwise(found).alias("ids"))
+    ids = lines.select(F.explode("ids").alias("app_id")).distinct()
     return ids.withColumn("status", F.lit(status)) if status else ids
 
 

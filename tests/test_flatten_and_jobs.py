@@ -72,7 +72,7 @@ def test_stream_equals_batch(spark, scratch):
     jobs.ingest_run(spark, f"{scratch}/batch", apps, primary, stats)
     batched = {tuple(r) for r in jobs.current_status(spark, f"{scratch}/batch").collect()}
     assert streamed == batched and len(batched) > 0
-    assert os.path.isdir(f"{scratch}/stream/merged_snapshot".replace("file:", ""))
+    assert os.path.isdir(f"{scratch}/stream/merged_buckets".replace("file:", ""))
     merged = jobs.merge_incremental(spark, f"{scratch}/stream")
     added = {r[0] for r in jobs.current_status(spark, f"{scratch}/stream").collect() if r[1] == "processed"}
     assert {r["app_id"] for r in merged.collect()} == added

@@ -107,7 +107,12 @@ def nearest_rank_quantiles(df: DataFrame, col: str, qs=QUARTILES,
 
 def describe(df: DataFrame, col: str, buckets: int | None = None) -> DataFrame:
     """``statistic STRING, <col> DOUBLE``: nine rows in a fixed order."""
-    hist = _histogram(df, col)
+    return describe_histogram(_histogram(df, col), col, buckets)
+
+
+def describe_histogram(hist: DataFrame, col: str, buckets: int | None = None) -> DataFrame:
+    """``describe`` of the rows whose distinct values and counts ``hist`` ``(v DOUBLE, c)``
+    holds, NULL among them. A stored histogram spares the scans of the rows."""
     s = _summary(hist)
     n, mean = s["n"], s["mean"]
     dev = F.col("c") * F.pow(F.col("v") - F.lit(mean), 2)

@@ -7,6 +7,7 @@ Ingest folder layout under ``root`` (a shared folder):
                       when added — ``chunk_size`` rows per file (the chunk
                       files of SNK2); the one log every other view reads
   summary/run=<n>/    run counters (Parquet)
+  manifests/run=<n>/  the chunk files of run n with their rows and digests (see ``sinks.manifest``)
   merged/             last-wins records over all runs (Parquet)
   status_snapshot/upto=<r>/  compacted status sets as of run r (``compact``)
   merged_buckets/     last-wins records in hash buckets (``merge_incremental``, see ``buckets``)
@@ -35,12 +36,16 @@ from .. import schema as S
 from ..operators import ingest
 from ..operators.flatten import flatten_struct
 from ..sinks import files as sinks
+from ..sinks import manifest
 from ..sources.files import numbered_folders, read_or_empty, remove_folder
-from . import buckets, registry, reports
+from . import buckets, fused, registry
 
 OUTCOME_KEYS = T.StructType([T.StructField("app_id", T.StringType()),
                              T.StructField("outcome", T.StringType()),
                              T.StructField("run", T.LongType())])
+# a chunk's columns, as its digest takes them: runs without enrichment lack some record fields
+CHUNK_SCHEMA = T.StructType([OUTCOME_KEYS["app_id"], OUTCOME_KEYS["outcome"],
+                             T.StructField("record", S.ENRICHED_RECORD)])
 
 
 def _p(root: str, *parts: str) -> str:
@@ -172,6 +177,7 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
 
     out_path = _p(root, "outcomes")
     sinks.write_batch(outcomes, out_path, run, fmt="parquet", column="run", chunk_size=chunk_size)
+    manifest.write_manifest(spark, _p(out_path, f"run={run}"), _p(root, "manifests", f"run={run}"), CHUNK_SCHEMA)
     # the schema is named: an empty first run leaves no file to infer it from
     written = spark.read.schema(OUTCOME_KEYS).parquet(out_path).where(F.col("run") == run).select("app_id", "outcome")
     summary = ingest.run_summary(apps, status, written)
@@ -181,8 +187,19 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
     return spark.read.parquet(_p(root, "summary")).where(F.col("run") == run)
 
 
-def merge(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
-    """SNK3: last run wins per app over all added records; writes ``merged``."""
+def verify_chunks(spark: SparkSession, root: str) -> None:
+    """Compare the chunks of every run with its manifest; raises ``ChunkError`` naming
+    chunks that are missing, altered or not listed, and runs that were not finished."""
+    runs = {*numbered_folders(spark, _p(root, "outcomes"), "run"), *numbered_folders(spark, _p(root, "manifests"), "run")}
+    for n in sorted(runs):
+        manifest.check_manifest(spark, _p(root, "outcomes", f"run={n}"), _p(root, "manifests", f"run={n}"), CHUNK_SCHEMA)
+
+
+def merge(spark: SparkSession, root: str, enriched: bool = True, verify: bool = False) -> DataFrame:
+    """SNK3: last run wins per app over all added records; writes ``merged``.
+    ``verify`` reads all chunks once more first and compares them with their manifests."""
+    if verify:
+        verify_chunks(spark, root)
     merged = ingest.last_wins(record_batches(spark, root, enriched), "app_id", "batch_id")
     sinks.write_parquet(merged, _p(root, "merged"))
     return spark.read.parquet(_p(root, "merged"))
@@ -214,17 +231,16 @@ def publish(base: DataFrame, out: str, base_name: str = "catalog",
             concurrent_jobs: int = 4) -> dict[str, str]:
     """DF5: write the base table, then every report computed from the written copy.
 
-    The report jobs are independent, so up to ``concurrent_jobs`` of them are
-    submitted at once (one driver thread each); Spark schedules their tasks
-    side by side instead of leaving the cluster idle between small jobs.
+    The copy is scanned twice: once for the groups that eleven reports share, once for the
+    lists of single rows (see ``fused``). Both are stored beside the tables, and the
+    reports are written from them, up to ``concurrent_jobs`` at once (one driver thread each).
     """
     from concurrent.futures import ThreadPoolExecutor
 
     spark = base.sparkSession
     base_path = _p(out, base_name)
     sinks.write_parquet(base, base_path)
-    written = spark.read.parquet(base_path)
-    plans = reports.generate_reports(written)
+    plans = fused.fused_reports(spark, spark.read.parquet(base_path), _p(out, "report_inputs"))
     paths = {base_name: base_path, **{name: _p(out, name) for name in plans}}
     with ThreadPoolExecutor(max_workers=max(int(concurrent_jobs), 1)) as pool:
         futures = [pool.submit(sinks.write_parquet, df, paths[name]) for name, df in plans.items()]
@@ -237,5 +253,6 @@ def load(spark: SparkSession, parquet_root: str, options: dict[str, str],
          base_name: str = "catalog", mode: str = "overwrite") -> None:
     """DF6: base table then the reports, each into the SQL table of its name."""
     from ..sinks.jdbc import load_all
-    names = [base_name, *reports.REPORTS]
+    from .reports import REPORTS
+    names = [base_name, *REPORTS]
     load_all({n: spark.read.parquet(_p(parquet_root, n)) for n in names}, options, mode)

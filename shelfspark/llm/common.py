@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_path
@@ -110,6 +110,32 @@ def held_out(doc_id: Column) -> Column:
     return fold(doc_id) == 0
 
 
+def learning_labels(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
+    """``(id, y)``: 0 or 1 per id of the learning folds. Ids with both labels, without an
+    id or without a label are left out; repeated rows count once."""
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")) \
+        .where(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
+    return marks.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("_most")) \
+        .where(F.col("y") == F.col("_most")).drop("_most")
+
+
+def bounded_texts(docs: DataFrame, picked: DataFrame, most_bytes: int, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """``(id, y, text)`` of the ``picked`` ids ``(id, y)``, of which there is a bounded number:
+    per class, in the order of a hash of the id, while the texts sum to at most ``most_bytes``.
+    A text of more than 1/64 of that is passed over. Of rows that share an id one counts, that
+    with the smallest text hash; NULL counts as empty."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")) \
+        .where(F.octet_length("text") <= most_bytes // 64).join(F.broadcast(picked), "id")
+    one = stored(rows.groupBy("id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.sha2("text", 256)))
+                                             .alias("text")), "sample")
+    before = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    lengths = one.select("id", "y", F.octet_length("text").cast("long").alias("size"))  # as many rows as picked
+    fits = lengths.withColumn("sum", F.sum("size").over(before)).where(F.col("sum") <= most_bytes).select("id")
+    return one.join(F.broadcast(fits), "id")
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; NULL counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",

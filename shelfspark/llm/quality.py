@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .common import filter_rows, held_out, register, ship_code, table
+from .common import bounded_texts, filter_rows, held_out, learning_labels, register, ship_code, table
 
 PASSAGE = 512
 # Character classes; every other byte below 128 is "other".
@@ -128,25 +128,26 @@ def _encoded(batches):
                                              names=["y", "passages"])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int,
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, most_bytes: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(text, y)``: at most ``most`` rows of each class of the learning folds,
-    chosen by a hash of the id."""
-    marked = labels.select(F.col(id_col).alias("id"), F.col(label).alias("y")) \
-        .where(F.col("y").isin(0, 1) & ~held_out(F.col("id"))).dropDuplicates(["id"])
+    """``(text, y)``: at most ``most`` rows and ``most_bytes`` of text of each class of the
+    learning folds, chosen by a hash of the id (see ``bounded_texts``)."""
+    marked = learning_labels(labels, label, id_col)
     picked = None
     for y in (0, 1):
         one = marked.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(most)
         picked = one if picked is None else picked.unionByName(one)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(picked), "id").select("text", "y")  # 2 * most rows at most
+    return bounded_texts(docs, picked, most_bytes, id_col, text_col).select("text", "y")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 1_500,
-                **ids) -> AttentionMIL:
-    """Fit on at most ``most`` labelled documents of each class (all their passages)."""
+                most_bytes: int = 32 << 20, **ids) -> AttentionMIL:
+    """Fit on at most ``most`` labelled documents of each class, ``most_bytes`` of text
+    together (all their passages; a passage is 1.7 KB in the driver, so at most 3.4 bytes for
+    each byte of text, and 1.7 KB for a document without one). Without any label the model
+    scores 0.5 everywhere, and ``keep_good`` keeps all."""
     ship_code(docs.sparkSession)
-    sample = labelled_sample(docs, labels, label, most, **ids)
+    sample = labelled_sample(docs, labels, label, most, most_bytes, **ids)
     rows = sample.mapInArrow(_encoded, "y int, passages binary").toArrow().sort_by(
         [("y", "ascending"), ("passages", "ascending")])  # one order whatever the partitions
     model = AttentionMIL(FEATURES)

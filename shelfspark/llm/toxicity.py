@@ -1,8 +1,9 @@
 """Toxicity: non-negative positive-unlabelled learning in numpy.
 
-Confirmed toxic documents are the positives; documents without a label are the
-unlabelled set, a mixture with a known share of toxic ones (the class prior, the
-toxic share of the labelled learning rows). A linear model over words minimises
+Confirmed toxic documents are the positives; all documents not confirmed are the
+unlabelled set, a mixture with a known share of toxic ones (the class prior: what the
+toxic share of the labelled learning rows leaves among documents not confirmed). A
+linear model over words minimises
 
     prior * E_pos[loss(+)] + max(0, E_unl[loss(-)] - prior * E_pos[loss(-)])
 
@@ -21,7 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles as S
-from .common import held_out, register, ship_code, table
+from .common import bounded_texts, held_out, learning_labels, register, ship_code, table
+
+
+GRID = 256  # margins are counted in steps of 1/256, from -30 to 30
+
+
+def grid_steps(margins: np.ndarray) -> np.ndarray:
+    return np.floor(np.clip(margins, -30, 30).astype(np.float64) * GRID).astype(np.int64)
 
 
 def _distinct_words(texts: pa.Array):
@@ -45,8 +53,11 @@ class PULearner:
                 x[r, at[self.words[at] == d]] = 1
         return x
 
+    def margin(self, docs: list[np.ndarray]) -> np.ndarray:
+        return np.clip(self.matrix(docs) @ self.weight + self.bias, -30, 30)
+
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.matrix(docs) @ self.weight + self.bias, -30, 30)))
+        return 1 / (1 + np.exp(-self.margin(docs)))
 
     def fit(self, positive, unlabelled, epochs=60, rate=0.02, decay=1e-3, batches=8, seed=5):
         """Non-negative risk, logistic loss, Adam over mini-batches."""
@@ -76,17 +87,22 @@ class PULearner:
         self.weight, self.bias = theta[:-1].astype(np.float32), np.float32(theta[-1])
         return self
 
-    def calibrate(self, unlabelled):
-        """Shift the margin so that the share of unlabelled texts at 0.5 or more is
-        as near the prior as it can be; a text without any of the words stays below."""
-        z = self.matrix(unlabelled) @ self.weight + self.bias
-        levels = np.unique(np.append(z, self.bias))
-        share = 1 - np.searchsorted(np.sort(z), levels[1:], side="left") / max(len(z), 1)
-        middle = (levels[:-1] + levels[1:]) / 2
-        may = levels[:-1] >= self.bias - 1e-6
+    def calibrate(self, steps: np.ndarray, counts: np.ndarray, share: float, error: float = 0.0):
+        """Shift the margin so that the share of texts at 0.5 or more matches ``share``: of
+        the cuts within ``error`` of it the one in the widest gap between margins, else (and
+        among equal gaps) the nearest one. A text without any of the words stays below.
+        ``counts`` texts have a margin in step ``steps`` (ascending) of the grid."""
+        own = int(grid_steps(np.array([self.bias]))[0])
+        levels = np.union1d(steps, [own])
+        held = np.zeros(len(levels))
+        held[np.searchsorted(levels, steps)] = counts
+        above = (held.sum() - np.cumsum(held))[:-1] / max(held.sum(), 1)
+        cuts = (levels[:-1] + 1 + levels[1:]) / 2 / GRID  # between the end of a step and the next one held
+        may = levels[:-1] >= own
         if may.any():
-            best = np.argmin(np.where(may, np.abs(share - self.prior), np.inf))
-            self.bias = np.float32(self.bias - middle[best])
+            off = np.where(may, np.abs(above - share), np.inf)
+            gap = np.where(off <= error, np.diff(levels), 0)
+            self.bias = np.float32(self.bias - cuts[np.lexsort((off, -gap))[0]])
         return self
 
 
@@ -136,27 +152,56 @@ def _sampled(batches):
                 names=["positive", "words"])
 
 
+def _margin_counts(model):
+    def run(batches):
+        held = Counter()
+        for batch in batches:
+            for _, _, docs in _distinct_words(batch.column("text")):
+                steps, n = np.unique(grid_steps(model.value.margin(docs)), return_counts=True)
+                held.update(dict(zip(steps.tolist(), n.tolist())))
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())],
+                                         names=["step", "n"])
+    return run
+
+
+def margin_counts(docs: DataFrame, model: PULearner, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """How many of all texts have a margin in each step of the grid (15,361 steps at most)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(_margin_counts(shared), "step long, n long") \
+        .groupBy("step").agg(F.sum("n").alias("n")).orderBy("step").toArrow()
+    return rows["step"].to_numpy(), rows["n"].to_numpy()
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_positive: int = 3_000,
-                 most_unlabelled: int = 9_000, id_col: str = "doc_id", text_col: str = "text") -> PULearner:
-    """Fit on at most ``most_positive`` confirmed and ``most_unlabelled`` unlabelled
-    documents, both of the learning folds and chosen by a hash of the id. Where
-    every row is labelled, rows not marked toxic stand in as unlabelled."""
+                 most_unlabelled: int = 9_000, most_bytes: int = 32 << 20, id_col: str = "doc_id",
+                 text_col: str = "text") -> PULearner:
+    """Fit on at most ``most_positive`` confirmed documents and ``most_unlabelled`` of those not
+    confirmed, ``most_bytes`` of text each, all of the learning folds and chosen by a hash of the
+    id (see ``bounded_texts``). Documents labelled 0 are among the not confirmed ones; the class
+    prior there is the toxic share that the labelled rows leave to them, at any label coverage.
+
+    The threshold comes from the margins of all learning-fold documents: the share at 0.5 or
+    more matches the toxic share of the labelled rows, within two standard errors of that share
+    where the margins leave a gap there (see ``calibrate``). Both shares are held
+    between 0.001 and 0.5. Without confirmed documents every score is a constant below 0.5.
+    """
     ship_code(docs.sparkSession)
-    marks = labels.select(F.col(id_col).alias("id"), F.col(label).alias("y")).where(F.col("y").isin(0, 1))
-    learn = marks.where(~held_out(F.col("id")))
-    prior = learn.agg(F.avg("y")).first()[0]
+    learn = learning_labels(labels, label, id_col)
+    known = F.col(id_col).isNotNull() & ~held_out(F.col(id_col))
+    ids = docs.where(known).select(F.col(id_col).alias("id"))
+    n = ids.join(learn, "id", "left").agg(
+        F.count(F.lit(1)).alias("all"), F.count("y").alias("labelled"), F.sum("y").alias("toxic")).first()
+    share = (n["toxic"] or 0) / max(n["labelled"], 1)
+    left = (n["all"] - n["labelled"]) * share / max(n["all"] - (n["toxic"] or 0), 1)
+    share, prior = (min(max(p, 1e-3), 0.5) for p in (share, left))
     by_hash = (F.xxhash64("id"), "id")
-    positive = learn.where("y = 1").select("id").distinct().orderBy(*by_hash).limit(most_positive)
-    others = docs.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull() & ~held_out(F.col("id")))
-    unlabelled = others.join(marks.select("id"), "id", "left_anti").distinct() \
-        .orderBy(*by_hash).limit(most_unlabelled)
-    if unlabelled.isEmpty():
-        unlabelled = others.join(learn.where("y = 1").select("id"), "id", "left_anti").distinct() \
-            .orderBy(*by_hash).limit(most_unlabelled)
-    picked = positive.withColumn("positive", F.lit(True)).unionByName(
-        unlabelled.withColumn("positive", F.lit(False)))  # bounded by the two limits
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .join(F.broadcast(picked), "id").select("text", "positive") \
+    confirmed = learn.where("y = 1").select("id")
+    positive = confirmed.orderBy(*by_hash).limit(most_positive)
+    unlabelled = ids.join(confirmed, "id", "left_anti").distinct().orderBy(*by_hash).limit(most_unlabelled)
+    picked = positive.withColumn("y", F.lit(1)).unionByName(
+        unlabelled.withColumn("y", F.lit(0)))  # bounded by the two limits
+    rows = bounded_texts(docs, picked, most_bytes, id_col, text_col) \
+        .select("text", (F.col("y") == 1).alias("positive")) \
         .mapInArrow(_sampled, "positive boolean, words array<long>").toArrow()
     lists = rows["words"].combine_chunks()
     flat = lists.flatten().to_numpy().view(np.uint64)
@@ -165,13 +210,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_
     is_positive = rows["positive"].to_pylist()
     keyed = sorted(zip(is_positive, docs_words), key=lambda x: (x[0], x[1].tobytes()))  # one order always
     pos, unl = [d for p, d in keyed if p], [d for p, d in keyed if not p]
-    prior = min(max(prior or 0.0, 1e-3), 0.5)
     if not pos or not unl:
         model = PULearner(np.zeros(0, S.U64), prior)  # nothing to learn from: every score is the prior
         model.bias = np.float32(np.log(prior / (1 - prior)) - 1e-3)
         return model
     apart = without_near_copies(pos), without_near_copies(unl)
-    return PULearner(choose_words(*apart), prior).fit(*apart).calibrate(unl)
+    model = PULearner(choose_words(*apart), prior).fit(*apart)
+    error = 2 * np.sqrt(share * (1 - share) / max(n["labelled"], 1))
+    return model.calibrate(*margin_counts(docs.where(known), model, text_col), share, error)
 
 
 def _scores(model):

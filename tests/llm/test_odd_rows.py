@@ -82,9 +82,13 @@ def test_dedup_of_odd_rows(spark, make_docs, odd_rows, most):
 
 def test_filters_of_odd_rows(spark, make_docs, odd_rows):
     docs = make_docs(odd_rows)
-    bench = spark.createDataFrame([(1, "a b c d e f g h"), (2, None), (3, ""), (4, "one")], "item_id long, text string")
+    bench = spark.createDataFrame([(1, "a b c d e f g h"), (2, None), (3, "")], "item_id long, text string")
     out = decontaminate.drop_contaminated(docs, bench)
     assert Counter(r.doc_id for r in out.collect()) == Counter(i for i, _ in odd_rows if i not in (5, 6))
+    # an item under five words is found where all its words stand together: "one" and "one two" hold it
+    short = bench.unionByName(spark.createDataFrame([(4, "one")], bench.schema))
+    out = decontaminate.drop_contaminated(docs, short)
+    assert Counter(r.doc_id for r in out.collect()) == Counter(i for i, _ in odd_rows if i not in (3, 4, 5, 6))
     none = decontaminate.drop_contaminated(docs, bench.limit(0))
     assert none.count() == len(odd_rows)
     assert ngram_join.one_per_component(docs, width=5).columns == docs.columns

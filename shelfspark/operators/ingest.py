@@ -303,13 +303,18 @@ def run_summary(apps: DataFrame, status: DataFrame, outcomes: DataFrame,
     total = apps − discarded − notreleased − processed, with the set sizes
     taken before the run (an app in two sets counts in both).
     """
-    n_apps = apps.agg(F.count_distinct(app_id)).scalar()
     n_known = status.groupBy("status").agg(F.count_distinct(app_id).alias("n")) \
         .agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     known_nr = status.where(F.col("status") == S.NOT_RELEASED).select(app_id).distinct() \
         .withColumn("_known_nr", F.lit(True))
+    return summary_of(apps, n_known, outcomes.join(known_nr, app_id, "left"), app_id)
+
+
+def summary_of(apps: DataFrame, n_known: Column, marked: DataFrame, app_id: str = "app_id") -> DataFrame:
+    """``run_summary`` from the size of the sets before the run and its outcomes, of which
+    ``_known_nr`` (else NULL) marks apps that were in the not-released set."""
+    n_apps = apps.agg(F.count_distinct(app_id)).scalar()
     o = F.col("outcome")
-    marked = outcomes.join(known_nr, app_id, "left")
     new_nr = (o == NOT_RELEASED_OUTCOME) & F.col("_known_nr").isNull()
     counts = marked.agg(
         F.count_if(o == S.ADDED).alias(S.ADDED),

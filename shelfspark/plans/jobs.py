@@ -9,7 +9,7 @@ Ingest folder layout under ``root`` (a shared folder):
   summary/run=<n>/    run counters (Parquet)
   manifests/run=<n>/  the chunk files of run n with their rows and digests (see ``sinks.manifest``)
   merged/             last-wins records over all runs (Parquet)
-  status_snapshot/upto=<r>/  compacted status sets as of run r (``compact``)
+  status_snapshot/upto=<r>/  status sets as of run r, bucketed (``compact``, see ``status_table``)
   merged_buckets/     last-wins records in hash buckets (``merge_incremental``, see ``buckets``)
   runs/, claims/      run numbers and the sources they were given to (see ``registry``)
 
@@ -37,8 +37,8 @@ from ..operators import ingest
 from ..operators.flatten import flatten_struct
 from ..sinks import files as sinks
 from ..sinks import manifest
-from ..sources.files import numbered_folders, read_or_empty, remove_folder
-from . import buckets, fused, registry
+from ..sources.files import numbered_folders, read_or_empty
+from . import buckets, fused, registry, status_table
 
 OUTCOME_KEYS = T.StructType([T.StructField("app_id", T.StringType()),
                              T.StructField("outcome", T.StringType()),
@@ -56,12 +56,6 @@ def _record_type(enriched: bool) -> T.StructType:
     return S.ENRICHED_RECORD if enriched else S.RECORD
 
 
-def status_log(spark: SparkSession, root: str) -> DataFrame:
-    """Status changes ``(app_id, status, present, run)`` of every run."""
-    keys = read_or_empty(spark, _p(root, "outcomes"), OUTCOME_KEYS)
-    return ingest.status_changes(keys, keep=("run",))
-
-
 def record_batches(spark: SparkSession, root: str, enriched: bool = True) -> DataFrame:
     """Added records of every run: ``(app_id, record, batch_id)``."""
     schema = T.StructType([OUTCOME_KEYS["app_id"], OUTCOME_KEYS["outcome"],
@@ -84,62 +78,55 @@ def _with_defaults(record):
     return F.struct(*fields)
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[int]:
-    """Snapshot numbers under ``path`` (``upto=<n>`` folders)."""
-    return numbered_folders(spark, path, "upto")
-
-
-def seed_status(spark: SparkSession, root: str, status: DataFrame) -> None:
+def seed_status(spark: SparkSession, root: str, status: DataFrame,
+                n_buckets: int = status_table.DEFAULT_BUCKETS) -> None:
     """Start a new catalog from existing sets ``(app_id, status)``, as ``id_set``
     reads them: they count as known before run 1."""
-    sinks.write_parquet(status.select("app_id", "status").distinct(), _p(root, "status_snapshot", "upto=0"))
+    rows = status_table.flags_of(status).repartition(n_buckets, "app_id")
+    status_table.write(spark, root, 0, rows, n_buckets)
 
 
 def _forget_snapshots(spark: SparkSession, root: str, run: int) -> None:
     """Drop the snapshots that hold run ``run``: it is about to be written again."""
-    for n in _snapshots(spark, _p(root, "status_snapshot")):
-        if n >= run:
-            remove_folder(spark, _p(root, "status_snapshot", f"upto={n}"))
+    status_table.forget(spark, root, run)
     buckets.forget(spark, root, run)
 
 
-def status_as_of(spark: SparkSession, root: str, run: int | None = None) -> DataFrame:
-    """Status sets seen by run ``run`` (all runs before it); None = all runs.
+def status_table_as_of(spark: SparkSession, root: str, run: int | None = None) -> status_table.Status:
+    """The sets seen by run ``run`` (all runs before it; None = all runs): the latest
+    snapshot taken before it and the changes logged after that one."""
+    return status_table.as_of(spark, root, read_or_empty(spark, _p(root, "outcomes"), OUTCOME_KEYS), run)
 
-    Latest snapshot taken before ``run`` + the changes logged after it.
-    """
-    snaps = [s for s in _snapshots(spark, _p(root, "status_snapshot"))
-             if run is None or s < run]
-    log = status_log(spark, root)
-    if run is not None:
-        log = log.where(F.col("run") < run)
-    if not snaps:
-        return ingest.current_status(log)
-    s = snaps[-1]
-    snap = spark.read.parquet(_p(root, "status_snapshot", f"upto={s}")).select(
-        "app_id", "status", F.lit(True).alias("present"), F.lit(s).cast("bigint").alias("run"))
-    return ingest.current_status(snap.unionByName(log.where(F.col("run") > s)))
+
+def status_as_of(spark: SparkSession, root: str, run: int | None = None) -> DataFrame:
+    """``status_table_as_of`` as rows ``(app_id, status)``."""
+    return status_table_as_of(spark, root, run).rows()
 
 
 def current_status(spark: SparkSession, root: str) -> DataFrame:
     return status_as_of(spark, root, None)
 
 
-def compact(spark: SparkSession, root: str) -> int:
+def compact(spark: SparkSession, root: str, n_buckets: int = status_table.DEFAULT_BUCKETS) -> int:
     """Write the status sets as of the last run as ``status_snapshot/upto=<r>``: the last
     before which no run is claimed or begun that has not ended (another source's run
     with a smaller number must not be passed over)."""
     ended = set(buckets.finished_runs(spark, _p(root, "outcomes")))
     begun = {*registry.claimed(spark, root), *numbered_folders(spark, _p(root, "outcomes"), "run")}
     r = min(begun - ended, default=max(ended, default=0) + 1) - 1
-    if r > 0 and r not in _snapshots(spark, _p(root, "status_snapshot")):
-        _snapshot_status(spark, root, r)
+    if r > 0 and r not in status_table.snapshots(spark, root):
+        _snapshot_status(spark, root, r, n_buckets)
     return r
 
 
-def _snapshot_status(spark: SparkSession, root: str, r: int) -> None:
-    state = status_as_of(spark, root, r + 1)
-    sinks.write_parquet(state, _p(root, "status_snapshot", f"upto={r}"))
+def _snapshot_status(spark: SparkSession, root: str, r: int, n_buckets: int) -> None:
+    """The first snapshot deals the rows into ``n_buckets``; later ones keep the buckets
+    of the one before and are written where its rows are."""
+    state = status_table_as_of(spark, root, r + 1)
+    rows = state.table()
+    if state.n_buckets is None:
+        rows = rows.repartition(n_buckets, "app_id")
+    status_table.write(spark, root, r, rows, state.n_buckets or n_buckets)
 
 
 def next_run(spark: SparkSession, root: str) -> int:
@@ -169,8 +156,8 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
         registry.note_run(spark, root, run)
     _forget_snapshots(spark, root, run)
     # only earlier runs count: re-running run n sees what run n saw the first time
-    status = status_as_of(spark, root, run)
-    work = ingest.work_list(apps, status, released)
+    status = status_table_as_of(spark, root, run)
+    work = status.work_list(apps, released)
     outcomes = ingest.classify(work, primary, stats)
     if stats is None:
         outcomes = outcomes.select("app_id", "outcome", F.col("record").cast(S.RECORD).alias("record"))
@@ -180,7 +167,7 @@ def ingest_run(spark: SparkSession, root: str, apps: DataFrame, primary: DataFra
     manifest.write_manifest(spark, _p(out_path, f"run={run}"), _p(root, "manifests", f"run={run}"), CHUNK_SCHEMA)
     # the schema is named: an empty first run leaves no file to infer it from
     written = spark.read.schema(OUTCOME_KEYS).parquet(out_path).where(F.col("run") == run).select("app_id", "outcome")
-    summary = ingest.run_summary(apps, status, written)
+    summary = status.run_summary(apps, written)
     sinks.write_batch(summary, _p(root, "summary"), run, fmt="parquet", column="run")
     if compact_every and run % compact_every == 0:
         compact(spark, root)

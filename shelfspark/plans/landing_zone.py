@@ -20,8 +20,6 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema as S
-from ..operators import ingest
 from ..sinks import files as sinks
 from . import jobs, registry
 
@@ -63,15 +61,14 @@ def ingest_landed(spark: SparkSession, root: str, apps: DataFrame, landing: str,
     old = spark.createDataFrame([], OPEN_SCHEMA) if mark is None else \
         spark.read.schema(OPEN_SCHEMA).parquet(f"{root}/landing_open/run={mark[0]}")
     new = [p for p in partitions(spark, landing) if mark is None or p > mark[1]]
-    work = ingest.work_list(apps, jobs.status_as_of(spark, root, run), released)
+    work = jobs.status_table_as_of(spark, root, run).work_list(apps, released)
     # names of folders, as few as there are
     again = [r["landed"] for r in old.join(work, "app_id", "left_semi").select("landed").distinct().collect()]
     summary = jobs.ingest_run(spark, root, apps, bodies(spark, landing, sorted({*new, *again}), landed_at).drop("landed"),
                               stats, released, run=run, **options)
     landed = bodies(spark, landing, new, landed_at).select("app_id", "landed").distinct()
-    settled = jobs.status_as_of(spark, root, run + 1).where(
-        F.col("status").isin(S.PROCESSED, S.DISCARDED)).select("app_id")
-    still_open = old.unionByName(landed).distinct().join(settled, "app_id", "left_anti")
+    known = jobs.status_table_as_of(spark, root, run + 1).marked(old.unionByName(landed).distinct())
+    still_open = known.where(~(F.col("_processed") | F.col("_discarded"))).select("app_id", "landed")
     sinks.write_parquet(still_open, f"{root}/landing_open/run={run}")
     upto = max([*new, *([mark[1]] if mark else [])], default="")
     registry.put_if_absent(spark, f"{root}/landing_marks/{run}", json.dumps({"landing": landing, "upto": upto}))

@@ -239,3 +239,12 @@ def every_package(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.posexplode("p.subs").alias("sub", "s"))
     return round_doubles(subs.select("app_id", "package", "sub", "title", "description", F.col("s.text").alias("text"),
                                      F.col("s.description").alias("sub_description"), F.col("s.price").alias("price")))
+
+
+@register("work_list_bucketed", ORACLE["work_list"])
+def work_list_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The work list against status sets stored in buckets."""
+    root = _scratch(spark, "work_list_bucketed", sf_dir)
+    base = testdata.catalog(spark, sf_dir)
+    jobs.seed_status(spark, root, _prior_status(base))
+    return jobs.status_table_as_of(spark, root).work_list(base.select("app_id"), released=True)

@@ -77,14 +77,17 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Reads the session's setting; only when it is unset (local tests) does it
-    set one under the session's warehouse directory.
+    Reads the session's setting; only a local session that names none (tests, bench)
+    gets one under its warehouse directory. On a cluster that folder may be one machine's
+    own, so a session there that names none raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        if sc is not None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         # unset (local runs): a folder under the warehouse. ``spark.checkpoint.dir``
         # is a launch setting and cannot be changed at runtime; the context's
         # checkpoint folder can (it adds a per-application subfolder).

@@ -79,9 +79,10 @@ def _with_defaults(record):
 
 
 def seed_status(spark: SparkSession, root: str, status: DataFrame,
-                n_buckets: int = status_table.DEFAULT_BUCKETS) -> None:
+                n_buckets: int | None = None) -> None:
     """Start a new catalog from existing sets ``(app_id, status)``, as ``id_set``
     reads them: they count as known before run 1."""
+    n_buckets = n_buckets or status_table.default_buckets(spark)
     rows = status_table.flags_of(status).repartition(n_buckets, "app_id")
     status_table.write(spark, root, 0, rows, n_buckets)
 
@@ -107,7 +108,7 @@ def current_status(spark: SparkSession, root: str) -> DataFrame:
     return status_as_of(spark, root, None)
 
 
-def compact(spark: SparkSession, root: str, n_buckets: int = status_table.DEFAULT_BUCKETS) -> int:
+def compact(spark: SparkSession, root: str, n_buckets: int | None = None) -> int:
     """Write the status sets as of the last run as ``status_snapshot/upto=<r>``: the last
     before which no run is claimed or begun that has not ended (another source's run
     with a smaller number must not be passed over)."""
@@ -119,14 +120,15 @@ def compact(spark: SparkSession, root: str, n_buckets: int = status_table.DEFAUL
     return r
 
 
-def _snapshot_status(spark: SparkSession, root: str, r: int, n_buckets: int) -> None:
+def _snapshot_status(spark: SparkSession, root: str, r: int, n_buckets: int | None) -> None:
     """The first snapshot deals the rows into ``n_buckets``; later ones keep the buckets
     of the one before and are written where its rows are."""
     state = status_table_as_of(spark, root, r + 1)
-    rows = state.table()
-    if state.n_buckets is None:
-        rows = rows.repartition(n_buckets, "app_id")
-    status_table.write(spark, root, r, rows, state.n_buckets or n_buckets)
+    rows, n = state.table(), state.n_buckets
+    if n is None:
+        n = n_buckets or status_table.default_buckets(spark)
+        rows = rows.repartition(n, "app_id")
+    status_table.write(spark, root, r, rows, n)
 
 
 def next_run(spark: SparkSession, root: str) -> int:

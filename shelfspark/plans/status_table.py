@@ -26,11 +26,16 @@ from ..operators import ingest
 from ..sources.files import numbered_folders, remove_folder
 from . import registry
 
-DEFAULT_BUCKETS = 64
+MAX_DEFAULT_BUCKETS = 1024
 FLAGS = {"processed": S.PROCESSED, "discarded": S.DISCARDED, "not_released": S.NOT_RELEASED}
 COLUMNS = "app_id STRING, processed BOOLEAN, discarded BOOLEAN, not_released BOOLEAN"
 
 
+def default_buckets(spark: SparkSession) -> int:
+    """As many buckets as the session deals a join into, at most ``MAX_DEFAULT_BUCKETS``."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_DEFAULT_BUCKETS))
+
+
 def _path(root: str, upto: int) -> str:
     return f"{root.rstrip('/')}/status_snapshot/upto={int(upto)}"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfspark import schema as S
@@ -269,9 +270,11 @@ def test_json_lines_records_flatten(spark, scratch):
     assert got == {"7": ("A", "X, Y", 1.5), "8": ("B", "", 0.0)}
 
 
-def test_id_set_bad_json_is_empty(spark, scratch):
+def test_id_set_bad_json_raises(spark, scratch):
+    """A line that is no array is not read as the empty set: the file is named."""
     spark.createDataFrame([("{not json",)], "value string").write.text(f"{scratch}/bad")
-    assert sources.id_set(spark, f"{scratch}/bad").count() == 0
+    with pytest.raises(Exception, match="not an array of ids: .*/bad/"):
+        sources.id_set(spark, f"{scratch}/bad").count()
     assert sources.app_list(spark, f"{scratch}/bad").count() == 0
 
 
